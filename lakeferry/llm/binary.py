@@ -7,8 +7,8 @@ whole documents in ascending order: start (ids before the block, of all), n_toke
 holds at least one document and else at most BLOCK ids.
 
 Documents are range-partitioned by (doc_id, hash of the text), nulls first, and sorted within partitions;
-ids are made once and kept in a working table, from which global counts (one row an id and task, bounded by the vocabulary)
-give the code and block starts.
+ids are made once and kept in a working table, with each task's counts of ids, which add up to the global counts on the
+driver (one row of the vocabulary's length a task, one task's at a time).
 
 Cases: null text = empty: the end id alone. Null doc_ids come first. Rows that repeat a doc_id are documents each, ordered
 by text. An empty table writes no blocks. Other columns are left out.
@@ -27,28 +27,31 @@ from .common import remove, work_dir
 
 BLOCK = 1 << 19
 END = 2
-_DOCS = 256
 
 
-def _tokenised(docs: DataFrame, path: str, end: int) -> DataFrame:
-    """part, at (ids before it in its partition), doc_id, n, ids: in order within each partition."""
-    from .tokens import Encoder, with_end
+def _tokenised(docs: DataFrame, path: str, end: int, size: int) -> DataFrame:
+    """part, at (ids before it in its partition), doc_id, n, ids: in order within each partition; and a row of part -1 with the counts of each task's ids, compressed."""
+    from .tokens import Encoder, groups, with_end
 
     def run(batches):
         import pyarrow as pa
         from pyspark import TaskContext
 
         encoder, part, at = Encoder.of(path), TaskContext.get().partitionId(), 0
+        names, counts = ["part", "at", "doc_id", "n", "ids"], np.zeros(size, np.int64)
         for batch in batches:
-            for i in range(0, batch.num_rows, _DOCS):
-                piece = batch.slice(i, _DOCS)
+            for i, j in groups(batch.column(1)):
+                piece = batch.slice(i, j - i)
                 flat, n = with_end(*encoder.encode([t.as_py() or "" for t in piece.column(1)]), end)
+                counts += np.bincount(flat, minlength=size)
                 to = np.cumsum(n)
                 offsets = np.concatenate(([0], to * flat.itemsize)).astype(np.int32)
                 ids = pa.Array.from_buffers(pa.binary(), len(n), [None, pa.py_buffer(offsets), pa.py_buffer(flat)])
                 arrays = [pa.array(np.full(len(n), part, np.int32)), pa.array(at + to - n), piece.column(0), pa.array(n), ids]
-                yield pa.RecordBatch.from_arrays(arrays, ["part", "at", "doc_id", "n", "ids"])
+                yield pa.RecordBatch.from_arrays(arrays, names)
                 at += int(to[-1])
+        kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
+        yield pa.RecordBatch.from_arrays([pa.array([x], k) for x, k in zip((-1, 0, None, 0, zlib.compress(counts.tobytes(), 1)), kinds, strict=True)], names)
 
     text = F.col("text").cast("string")
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("h"))
@@ -65,22 +68,12 @@ def write(docs: DataFrame, folder: str, path: str, end: int = END) -> None:
     kind = Encoder.of(path).dtype
     size = max(len(Encoder.of(path).ends), end + 1)
     work = work_dir(spark, "ids")
-    _tokenised(docs, path, end).write.mode("overwrite").option("compression", "zstd").parquet(work)
+    _tokenised(docs, path, end, size).write.mode("overwrite").option("compression", "zstd").parquet(work)
     kept = spark.read.parquet(work)
-
-    def count(batches):
-        import pyarrow as pa
-
-        held = np.zeros(size, np.int64)
-        for batch in batches:
-            for x in batch.column(0):
-                held += np.bincount(np.frombuffer(x.as_buffer(), kind), minlength=size)
-        used = np.flatnonzero(held)
-        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(held[used])], ["id", "n"])
-
     counts = np.zeros(size, np.int64)
-    found = kept.select("ids").mapInArrow(count, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n")).toPandas()
-    counts[found["id"]] = found["n"]
+    for r in kept.where("part < 0").select("ids").toLocalIterator():
+        counts += np.frombuffer(zlib.decompress(r.ids), np.int64)
+    kept = kept.where("part >= 0")
     length = huffman.lengths(counts)
     code = huffman.codes(length)
     spark.createDataFrame([(bytearray(length.tobytes()),)], "lengths binary").coalesce(1).write.mode("overwrite").parquet(f"{folder}/code")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
@@ -12,7 +13,16 @@ from pyspark.sql import functions as F
 _own: dict[str, str] = {}
 
 
+def _reachable(spark: SparkSession) -> None:
+    """Lets Python workers find this package where it lies, if they share its folder."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    env = spark.sparkContext.environment
+    if root not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(filter(None, (env.get("PYTHONPATH"), root)))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    _reachable(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

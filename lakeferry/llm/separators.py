@@ -26,7 +26,7 @@ BLOCK = 8 << 20
 
 def write_flat(docs: DataFrame, path: str, folder: str, end: int) -> tuple[DataFrame, int]:
     """Writes a flat file for each partition of docs into folder; (file, doc_no, doc_id) of the documents, and an id's bytes."""
-    from .tokens import Encoder, with_end
+    from .tokens import Encoder, groups, with_end
 
     def run(batches):
         import pyarrow as pa
@@ -38,8 +38,8 @@ def write_flat(docs: DataFrame, path: str, folder: str, end: int) -> tuple[DataF
         def fill(out):
             for batch in batches:
                 texts = [t.as_py() or "" for t in batch.column(1)]
-                for i in range(0, len(texts), 256):
-                    flat, _ = with_end(*encoder.encode(texts[i : i + 256]), end)
+                for i, j in groups(batch.column(1)):
+                    flat, _ = with_end(*encoder.encode(texts[i:j]), end)
                     out.write(flat.tobytes())
                 ids.append(batch.column(0))
 

@@ -1,9 +1,11 @@
 """Token ids of whole texts, fast: a batch's distinct words are encoded once.
 
 Exact for a tokenizer whose pre-tokenizer drops white space and whose normaliser and merges never
-look across it (word_bpe_49k): then a text's ids are those of its space- and line-separated pieces in turn. Pieces that are
-letters only, but for a final . or , are encoded many to a call and told apart by the tokens that end a
-word; the rest one by one. Texts over _SLICE characters go in parts cut at a space.
+look across it, and which ignores case (word_bpe_49k): then a text's ids are those of its space- and line-separated
+pieces in turn. Pieces that are letters only, but for a final . or , are encoded many to a call and told
+apart by the tokens that end a word; the rest one by one. Letters below U+0250 (all of them in normal form) are
+lower-cased here, and skip the normaliser and the pattern, which leave such pieces as they are. Texts over
+_SLICE characters go in parts cut at a space.
 """
 
 from __future__ import annotations
@@ -12,8 +14,8 @@ import os
 
 import numpy as np
 
-_SLICE = 1 << 21
-_CACHE = 500_000
+_SLICE = 1 << 22
+_CACHE = 1_000_000
 _JOIN = 256
 _known: dict = {}
 
@@ -21,15 +23,19 @@ _known: dict = {}
 class Encoder:
     def __init__(self, path: str, special_as_text: bool = False):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = special_as_text
+        self.plain = Tokenizer.from_file(path)
+        self.plain.normalizer = normalizers.Sequence([])
+        self.plain.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         vocab = self.tokenizer.get_vocab(with_added_tokens=True)
         self.dtype = np.dtype("<u2" if max(vocab.values()) < 1 << 16 else "<u4")
         self.ends = np.zeros(max(vocab.values()) + 1, bool)
         self.ends[[i for w, i in vocab.items() if w.endswith("</w>")]] = True
-        self.words: dict[str, bytes] = {"": b""}
+        #: Ids of pieces, both as bytes.
+        self.words: dict[bytes, bytes] = {b"": b""}
 
     @staticmethod
     def of(path: str, special_as_text: bool = False) -> Encoder:
@@ -39,39 +45,50 @@ class Encoder:
             _known[key] = Encoder(*key)
         return _known[key]
 
-    def _ids(self, texts: list[str]) -> list[np.ndarray]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+    def _ids(self, texts: list[str], tokenizer=None) -> list[np.ndarray]:
+        found = (tokenizer or self.tokenizer).encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(x.ids, self.dtype) for x in found]
 
-    def _learn(self, pieces: list[str]) -> None:
+    def _learn(self, pieces: list[bytes]) -> None:
         """Puts the ids of pieces into self.words."""
-        known, cores, stops, odd = self.words, set(), [], []
+        known, plain, cores, alias, odd = self.words, set(), set(), [], []
         for p in pieces:
-            core = p[:-1] if p[-1] in ".," else p
+            key = p[:-1] if p[-1] in b".," else p
+            core = key.decode()
             if not core.isalpha():
                 odd.append(p)
                 continue
-            if core is not p:
-                stops.append(p)
-            if core not in known:
-                cores.add(core)
-        if stops:
-            odd += [x for x in (".", ",") if x not in known]
-        cores = sorted(cores)
-        groups = [cores[i : i + _JOIN] for i in range(0, len(cores), _JOIN)]
-        for group, ids in zip(groups, self._ids([" ".join(g) for g in groups]), strict=True):
-            last = np.flatnonzero(self.ends[ids]) + 1
-            if len(last) == len(group):
-                data, at = ids.tobytes(), 0
-                for w, e in zip(group, (last * self.dtype.itemsize).tolist(), strict=True):
-                    known[w] = data[at:e]
-                    at = e
-            else:  # a letter whose lower case holds more than letters
-                odd += group
-        for w, ids in zip(odd, self._ids(odd), strict=True):
+            to = cores
+            if core.isascii():  # batches come in lower case, as far as ASCII goes
+                low, to = core.lower(), plain
+            elif max(core) < "\u0250" and "\u0130" not in core:
+                low, to = core.lower(), plain
+            else:
+                low = core
+            if low is not core or key is not p:
+                key = low.encode()
+                if key != p:
+                    alias.append((p, key))
+            if key not in known:
+                to.add(low)
+        if alias:
+            odd += [x for x in (b".", b",") if x not in known]
+        for words, tokenizer in ((plain, self.plain), (cores, self.tokenizer)):
+            words = list(words)
+            groups = [words[i : i + _JOIN] for i in range(0, len(words), _JOIN)]
+            for group, ids in zip(groups, self._ids([" ".join(g) for g in groups], tokenizer), strict=True):
+                last = np.flatnonzero(self.ends[ids]) + 1
+                if len(last) == len(group):
+                    data, at = ids.tobytes(), 0
+                    for w, e in zip(group, (last * self.dtype.itemsize).tolist(), strict=True):
+                        known[w.encode()] = data[at:e]
+                        at = e
+                else:  # a letter whose lower case holds more than letters
+                    odd += [w.encode() for w in group]
+        for w, ids in zip(odd, self._ids([w.decode() for w in odd]), strict=True):
             known[w] = ids.tobytes()
-        for p in stops:
-            known[p] = known[p[:-1]] + known[p[-1]]
+        for p, key in alias:
+            known[p] = known[key] + known[p[-1:]] if p[-1] in b".," else known[key]
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts in turn, and how many each text has."""
@@ -100,12 +117,18 @@ class Encoder:
         import pyarrow as pa
         import pyarrow.compute as pc
 
-        lists = pc.split_pattern(pc.replace_substring(pa.array([t.encode("utf-8", "replace") for t in texts], pa.large_binary()).cast(pa.large_string()), "\n", " "), " ")
+        column = pa.array([t.encode("utf-8", "replace") for t in texts], pa.large_binary()).cast(pa.large_string())
+        if not pc.any(pc.match_substring(column, "<|")).as_py():  # no special token's string, where case would count
+            column = pc.ascii_lower(column)
+        lists = pc.split_pattern(pc.replace_substring(column, "\n", " "), " ")
         words = lists.flatten().dictionary_encode()
         per_text = np.asarray(lists.value_lengths(), np.int64)
-        unique, index = words.dictionary.to_pylist(), np.asarray(words.indices)
+        index = np.asarray(words.indices)
+        _, offsets, raw = words.dictionary.buffers()
+        raw, at = raw.to_pybytes() if raw else b"", np.frombuffer(offsets, np.int64)[: len(words.dictionary) + 1].tolist()
+        unique = [raw[a:b] for a, b in zip(at, at[1:], strict=False)]
         if len(self.words) + len(unique) > _CACHE + 1:
-            self.words = {"": b""}
+            self.words = {b"": b""}
         known = self.words
         if new := [w for w in unique if w not in known]:
             self._learn(new)
@@ -126,3 +149,18 @@ def with_end(flat: np.ndarray, counts: np.ndarray, end: int) -> tuple[np.ndarray
     held[at - 1] = False
     out[held], out[~held] = flat, end
     return out, counts + 1
+
+
+def groups(column, most: int = _SLICE):
+    """Ranges (from, to) of an Arrow text column of about `most` bytes each, or one row."""
+    import pyarrow.compute as pc
+
+    size = np.asarray(pc.fill_null(pc.binary_length(column), 0), np.int64)
+    at, held = 0, 0
+    for i, n in enumerate(size.tolist()):
+        if held and held + n > most:
+            yield at, i
+            at, held = i, 0
+        held += n + 1
+    if at < len(size):
+        yield at, len(size)
