@@ -7,8 +7,8 @@ whole documents in ascending order: start (ids before the block, of all), n_toke
 holds at least one document and else at most BLOCK ids.
 
 Documents are range-partitioned by (doc_id, hash of the text), nulls first, and sorted within partitions;
-ids are made once and kept in a working table, with each task's counts of ids, which add up to the global counts on the
-driver (one row of the vocabulary's length a task, one task's at a time).
+ids are made once and kept in a working table, with each task's counts of ids, which a groupBy adds up
+(the driver gets one row an id).
 
 Cases: null text = empty: the end id alone. Null doc_ids come first. Rows that repeat a doc_id are documents each, ordered
 by text. An empty table writes no blocks. Other columns are left out.
@@ -70,9 +70,20 @@ def write(docs: DataFrame, folder: str, path: str, end: int = END) -> None:
     work = work_dir(spark, "ids")
     _tokenised(docs, path, end, size).write.mode("overwrite").option("compression", "zstd").parquet(work)
     kept = spark.read.parquet(work)
+
+    def count(batches):
+        import pyarrow as pa
+
+        held = np.zeros(size, np.int64)
+        for batch in batches:
+            for x in batch.column(0).to_pylist():
+                held += np.frombuffer(zlib.decompress(x), np.int64)
+        used = np.flatnonzero(held)
+        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(held[used])], ["id", "n"])
+
     counts = np.zeros(size, np.int64)
-    for r in kept.where("part < 0").select("ids").toLocalIterator():
-        counts += np.frombuffer(zlib.decompress(r.ids), np.int64)
+    found = kept.where("part < 0").select("ids").mapInArrow(count, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n")).toPandas()
+    counts[found["id"]] = found["n"]
     kept = kept.where("part >= 0")
     length = huffman.lengths(counts)
     code = huffman.codes(length)
