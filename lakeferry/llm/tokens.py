@@ -15,7 +15,7 @@ import os
 import numpy as np
 
 _SLICE = 1 << 22
-_CACHE = 1_000_000
+_CACHE = 600_000
 _JOIN = 256
 _known: dict = {}
 
