@@ -63,7 +63,7 @@ def plan(docs: DataFrame, weights=WEIGHTS, total: float = TOTAL, most: float = M
     """doc_id, source, key, size, source_size, target, taken: one row for every row of docs."""
     base = cut(docs.select("doc_id", F.col("source").cast("string").alias("source"), _key(docs).alias("key"), size(docs["text"]).alias("size")))
     ranges = base.count() // RANGE_ROWS + 1
-    bits = min(40, (ranges - 1).bit_length() + 3)  # ranges of even a lone source come out small
+    bits = min(40, (ranges - 1).bit_length() + 6)  # ranges of even a lone source come out small
     base = base.withColumn("range", F.shiftright("key", KEY_BITS - bits))
     sums = cut(base.groupBy("source", "range").agg(F.sum("size").alias("words")))
     sources = cut(targets(sums.groupBy("source").agg(F.sum("words").alias("source_size")), weights, total, most))
