@@ -27,6 +27,8 @@ from pyspark.sql import functions as F
 from .common import cut, file_system, write_whole
 
 LEAST = 100
+#: Groups of equal payloads (about 100 bytes each) that go to all executors; more are joined by a shuffle.
+BROADCAST_GROUPS = 500_000
 _PIECE = 1 << 20
 _DATE = "2024-01-01T00:00:00Z"
 INDEX = "file string, offset bigint, length bigint, type string, page_id bigint"
@@ -40,6 +42,8 @@ def decide(pages: DataFrame, least: int = LEAST) -> DataFrame:
     rows = rows.withColumn("bytes", F.octet_length("html").cast("bigint")).withColumn("digest", F.sha2("html", 256))
     groups = rows.where(F.col("bytes") >= least).groupBy("digest").agg(F.count("*").alias("n"), F.min("page_id").alias("first"))
     groups = cut(groups.where("n > 1 and first is not null").select(F.col("digest").alias("_digest"), "first"))
+    if groups.count() <= BROADCAST_GROUPS:
+        groups = F.broadcast(groups)
     out = rows.join(groups, (F.col("digest") == F.col("_digest")) & (F.col("bytes") >= least), "left")
     refers = F.when(~F.col("page_id").eqNullSafe(F.col("first")), F.col("first"))
     return out.select("page_id", "url", "html", "bytes", "digest", refers.alias("refers_to"))
@@ -193,7 +197,7 @@ def normalise_all(names: DataFrame, folder: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0)], ["name"])
 
     n = names.count()
-    done = cut(names.repartition(max(1, min(n, 4096)), "name").mapInArrow(run, "name string"))
+    done = cut(names.repartition(max(1, min(n, 4096))).mapInArrow(run, "name string"))
     spark = names.sparkSession
     if not n:
         return spark.createDataFrame([], INDEX)
