@@ -41,8 +41,11 @@ def target(text: str) -> Target:
     if m := re.fullmatch(r"\w+://([^/]+)/(?:([^/]*)/)?([^/]+)", text):
         parts = [unquote(m[1]), None if m[2] is None else unquote(m[2]), unquote(m[3])]
     else:
-        raw = re.findall(r"(\[(?:[^\]]|\]\])+\]|\"(?:[^\"]|\"\")+\"|[^.]*)(?:\.|$)", text)[: text.count(".") + 1]
-        names = [x[1:-1].replace("]]", "]") if x[:1] == "[" else x[1:-1].replace('""', '"') if x[:1] == '"' else x for x in raw]
+        names, at = [], 0
+        while at <= len(text):
+            m = re.compile(r"\[((?:[^\]]|\]\])+)\](?=\.|$)|\"((?:[^\"]|\"\")+)\"(?=\.|$)|([^.]*)").match(text, at)
+            names.append(m[1].replace("]]", "]") if m[1] else m[2].replace('""', '"') if m[2] else m[3])
+            at = m.end() + 1
         if len(names) == 3:
             parts = names
         elif len(names) == 2:
