@@ -58,19 +58,19 @@ class Encoder:
             if not core.isalpha():
                 odd.append(p)
                 continue
-            to = cores
-            if core.isascii():  # batches come in lower case, as far as ASCII goes
-                low, to = core.lower(), plain
-            elif max(core) < "\u0250" and "\u0130" not in core:
-                low, to = core.lower(), plain
-            else:
-                low = core
-            if low is not core or key is not p:
-                key = low.encode()
-                if key != p:
-                    alias.append((p, key))
+            if not core.isascii() and (max(core) >= "\u0250" or "\u0130" in core):
+                # its normal form may end in a mark, which a stop would join
+                if key is p:
+                    cores.add(core)
+                else:
+                    odd.append(p)
+                continue
+            low = core.lower()
+            key = low.encode()
+            if key != p:
+                alias.append((p, key))
             if key not in known:
-                to.add(low)
+                plain.add(low)
         if alias:
             odd += [x for x in (b".", b",") if x not in known]
         for words, tokenizer in ((plain, self.plain), (cores, self.tokenizer)):
