@@ -13,11 +13,11 @@ from pyspark.sql import types as T
 from ..errors import Exists, NotFound, Refused
 from ..functions.convert import narrow, round_timestamp, truncate_utf8, truncate_utf16
 from ..functions.types import accepts, parse, refusal, remote_type
+from ..settings import settings
 from ..sources.catalog import DEFAULT_SCHEMA, Catalog
 from ..sources.store import Col, Meta, columns_of
 from . import ddl
 
-FLUSH_ROWS = 102_400
 MOST_WRITERS = 8
 
 
@@ -110,13 +110,16 @@ def _compatible(source: DataFrame, pairs: list[tuple[Col, str | None]]) -> set[s
     return {x for _, x in odd}
 
 
-def copy_to(c: Catalog, df: DataFrame, name: str, *, create_table: bool = True, replace_table: bool = False, truncate: bool = False, flush_rows: int = FLUSH_ROWS, tablock: str = "auto", string_length: int = 0, table_kind: str = "heap", parallel: int = 0) -> int:
+def copy_to(c: Catalog, df: DataFrame, name: str, *, create_table: bool = True, replace_table: bool = False, truncate: bool = False, flush_rows: int | None = None, tablock: str | None = None, string_length: int | None = None, table_kind: str | None = None, parallel: int | None = None) -> int:
     """Loads df into a table; rows loaded.
 
     create_table: makes the table if there is none. replace_table: drops it first. truncate: empties it first and keeps its
     definition. flush_rows: rows of a file (0: no limit). string_length: bound of the strings of a new table.
-    parallel: tasks that write (0: as many as fit).
+    parallel: tasks that write (0: as many as fit). What isn't given is as the settings say.
     """
+    or_ = lambda x, name: settings[name] if x is None else x
+    flush_rows, tablock, string_length = or_(flush_rows, "copy_flush_rows"), or_(tablock, "copy_tablock"), or_(string_length, "default_string_length")
+    table_kind, parallel = or_(table_kind, "default_table_kind"), or_(parallel, "copy_parallel_writers")
     t = target(f"{c.name}.{name}" if not name.lower().startswith(f"{c.name.lower()}.") and "://" not in name else name)
     if t.table.startswith("#"):
         return _temporary(c, df, t)
@@ -158,7 +161,7 @@ def _temporary(c: Catalog, df: DataFrame, t: Target) -> int:
     return n
 
 
-def create_table_as(c: Catalog, name: str, df: DataFrame, *, or_replace: bool = False, if_not_exists: bool = False, drop_on_failure: bool = False, options: dict | None = None, string_length: int = 0) -> int:
+def create_table_as(c: Catalog, name: str, df: DataFrame, *, or_replace: bool = False, if_not_exists: bool = False, drop_on_failure: bool | None = None, options: dict | None = None, string_length: int | None = None) -> int:
     """A table with df's columns, all nullable, and rows; rows loaded (0 if it exists and if_not_exists). Never part of a transaction."""
     store = c.writable("CREATE TABLE AS")
     schema, table = c.resolve(name)
@@ -173,13 +176,14 @@ def create_table_as(c: Catalog, name: str, df: DataFrame, *, or_replace: bool =
             return 0
         if not or_replace:
             raise Exists(f"table {name} exists already")
-    options = ddl.table_options(options)
-    cols = columns_of(df.schema, lambda f: remote_type(f, default_length=string_length))
+    options = ddl.table_options(options or {"table_kind": settings["default_table_kind"]})
+    length = settings["default_string_length"] if string_length is None else string_length
+    cols = columns_of(df.schema, lambda f: remote_type(f, settings["ctas_text_type"].lower(), length))
     rows = df.select(*[fit(F.col(f"`{x.name}`"), x).alias(x.name) for x in cols])
     try:
         segment, n = store.write(schema, table, cols, rows, sort=options.get("clustered_index"))
     except Exception:
-        if drop_on_failure and m is None:
+        if (settings["ctas_drop_on_failure"] if drop_on_failure is None else drop_on_failure) and m is None:
             store.drop(schema, table)
         raise
     # the old version serves readers until this one is published

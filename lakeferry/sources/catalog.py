@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 
 from ..errors import EngineError, Exists, NotFound, ReadOnly, Refused
 from ..functions.collation import spark_name
-from ..plans import predicates
+from ..plans import ordering, predicates
+from ..settings import settings
 from .store import Meta, Store
 from .visibility import Filter
 
@@ -34,11 +35,11 @@ class Entry:
 
 
 class Catalog:
-    def __init__(self, spark: SparkSession, name: str, source: str, *, store: bool = False, read_only: bool | None = None, schema_filter: str | None = None, table_filter: str | None = None, order_pushdown: bool = False, catalog: bool = True, lazy_validation: bool = False, keys: dict[str, list[str]] | None = None, collations: dict[str, dict[str, str]] | None = None, ttl: float = 0, **options):
+    def __init__(self, spark: SparkSession, name: str, source: str, *, store: bool = False, read_only: bool | None = None, schema_filter: str | None = None, table_filter: str | None = None, order_pushdown: bool = False, catalog: bool = True, lazy_validation: bool = False, keys: dict[str, list[str]] | None = None, collations: dict[str, dict[str, str]] | None = None, ttl: float | None = None, **options):
         self.spark, self.name, self.source = spark, name, source.rstrip("/")
         self.read_only = (not store) if read_only is None else read_only
         self.visible = Filter(schema_filter, table_filter)
-        self.order_pushdown, self.discovers, self.ttl = order_pushdown, catalog, ttl
+        self.order_pushdown, self.discovers, self.ttl = order_pushdown, catalog, settings["catalog_cache_ttl"] if ttl is None else ttl
         self.keys, self.collations, self.options = keys or {}, collations or {}, options
         self.store = Store(spark, self.source) if store else None
         self.cache: dict[tuple[str, str], Entry] = {}
@@ -206,6 +207,19 @@ class Catalog:
             df = df.limit(limit)
         return df.select(*[f"`{c}`" for c in columns]) if columns else df
 
+    def statement(self, name: str, columns: list[str], where: predicates.Node | None = None, order: list[ordering.Key] | None = None, limit: int | None = None) -> str:
+        """The SELECT that a live server would get for a scan."""
+        schema, table = self.resolve(name)
+        push = ordering.plan(order or [], limit, enabled=ordering.enabled(settings["order_pushdown"], self.order_pushdown))
+        return ordering.statement(schema, table, columns, predicates.encode(where)[0], push)
+
+    def physical(self, name: str) -> DataFrame:
+        """kind (heap, columnstore, clustered), segments, rows of a stored table."""
+        schema, table = self.resolve(name)
+        m = self.meta(schema, table)
+        rows = [(m.options.get("table_kind", "heap"), len(m.segments), m.rows)] if m and not m.sql else []
+        return self.spark.createDataFrame(rows, "kind string, segments int, rows bigint")
+
     def by_rowid(self, name: str, value) -> DataFrame:
         return self.table(name).where(predicates.column(predicates.rowid_equals(self.key(name), value)))
 

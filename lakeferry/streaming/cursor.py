@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import threading
 import uuid
 from collections.abc import Iterator
 
@@ -12,14 +13,17 @@ CHUNK = 2048
 
 
 class Cursor:
-    """Reads df in chunks, one partition at a time on the driver; cancel() or close() stops its jobs."""
+    """Reads df in chunks, one partition at a time on the driver; cancel(), close() or `timeout` seconds (0: none) stop its jobs."""
 
-    def __init__(self, df: DataFrame, chunk: int = CHUNK):
-        self.df, self.chunk, self.tag, self.done = df, chunk, f"cursor-{uuid.uuid4().hex}", False
+    def __init__(self, df: DataFrame, chunk: int = CHUNK, timeout: float = 0):
+        self.df, self.chunk, self.tag, self.done, self.timeout = df, chunk, f"cursor-{uuid.uuid4().hex}", False, timeout
 
     def __iter__(self) -> Iterator[list]:
         spark = self.df.sparkSession
         spark.addTag(self.tag)
+        timer = threading.Timer(self.timeout, self.cancel) if self.timeout else None
+        if timer:
+            timer.start()
         try:
             held = []
             for row in self.df.toLocalIterator(prefetchPartitions=True):
@@ -32,6 +36,8 @@ class Cursor:
             if held and not self.done:
                 yield held
         finally:
+            if timer:
+                timer.cancel()
             spark.removeTag(self.tag)
 
     def cancel(self) -> None:
