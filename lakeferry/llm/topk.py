@@ -27,7 +27,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, work_dir
 
 QUERY_BLOCK = 4096
 BITS = 8
@@ -93,17 +93,33 @@ def top_k(rows: DataFrame, queries: DataFrame, k: int = 5, id_column: str = "vec
     total = wanted.count()
     blocks = 1 if total <= QUERY_BLOCK else -(-2 * total // QUERY_BLOCK)
     wanted = wanted.withColumn("block", F.pmod(F.xxhash64("id", "v"), F.lit(blocks)))
-    found = [data.sparkSession.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score bigint")]
-    for b in range(blocks if total else 0):
-        here = wanted.where(F.col("block") == b).orderBy("id").toLocalIterator()
+    spark, schema = data.sparkSession, "query_id bigint, rank int, vec_id bigint, score bigint"
+    if not total:
+        return spark.createDataFrame([], schema)
+    folder = None if blocks == 1 else work_dir(spark, "topk")
+    found: list[DataFrame] = []
+
+    def keep(group: list) -> None:
+        """One block's result: as a plan if there is one block, else in a table, lest plans pile up."""
+        out = _block(data, group, k, most)
+        if folder:
+            out.write.mode("append").parquet(folder)
+        else:
+            found.append(out)
+
+    for b in range(blocks):
         of: dict[int, list] = {}
-        for r in here:
+        for r in wanted.where(F.col("block") == b).orderBy("id").toLocalIterator():
             group = of.setdefault(len(r.v), [])
             group.append(r)
             if len(group) == QUERY_BLOCK:
-                found.append(_block(data, group, k, most))
+                keep(group)
                 of[len(r.v)] = []
-        found += [_block(data, group, k, most) for group in of.values() if group]
+        for group in of.values():
+            if group:
+                keep(group)
+    if folder:
+        return spark.read.schema(schema).parquet(folder)
     out = found[0]
     for p in found[1:]:
         out = out.union(p)
