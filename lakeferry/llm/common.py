@@ -58,6 +58,16 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+#: Rows, of a few numbers each, that may go to every executor.
+BROADCAST_ROWS = 300_000
+
+
+def small(df: DataFrame) -> DataFrame:
+    """df, kept and counted: to be broadcast if it has at most BROADCAST_ROWS rows, and else joined as Spark sees fit."""
+    kept = cut(df)
+    return F.broadcast(kept) if kept.count() <= BROADCAST_ROWS else kept
+
+
 def file_system(uri: str):
     """(pyarrow filesystem, path) of a URI in the shared folder; for use on executors."""
     from pyarrow import fs

@@ -28,7 +28,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, cut
+from .common import ascii_lower, cut, small
 
 WIDTH = 10
 BROADCAST_ROWS = 1_000_000
@@ -129,5 +129,5 @@ def scan(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH) -> DataFrame
 
 def clean(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH) -> DataFrame:
     """The rows of docs, with all their columns, in which no window occurs."""
-    dirty = cut(occurrences(docs, benchmark, width).select(F.col("doc_id").alias("_dirty"), F.col("h").alias("_dirty_h")).distinct())
+    dirty = small(occurrences(docs, benchmark, width).select(F.col("doc_id").alias("_dirty"), F.col("h").alias("_dirty_h")).distinct())
     return docs.join(dirty, docs["doc_id"].eqNullSafe(dirty["_dirty"]) & (F.xxhash64(docs["text"].cast("string")) == dirty["_dirty_h"]), "left_anti")

@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, small
 
 WEIGHTS = (5, 2, 1)
 TOTAL = 1.5
@@ -85,15 +85,13 @@ def mixed(docs: DataFrame, weights=WEIGHTS, total: float = TOTAL, most: float =
 
     Rows of size 0 have no words to take, and stay out.
     """
-    takes = plan(docs, weights, total, most).where("taken > 0").select(F.col("doc_id").alias("_id"), F.col("source").alias("_s"), F.col("key").alias("_k"), F.col("size").alias("_n"), F.col("taken").alias("_t"))
+    takes = small(plan(docs, weights, total, most).where("taken > 0").select(F.col("key").alias("_k"), F.col("size").alias("_n"), F.col("taken").alias("_t")))
     # rows that repeat wholly share a key: number them, that each gets a take of its own
-    nth = lambda *by: F.row_number().over(Window.partitionBy(*by).orderBy(by[-1]))
-    again = takes.groupBy("_k").count().where("count > 1").isEmpty()
-    if again:
-        rows = docs.withColumn("_key", _key(docs)).join(takes, F.col("_key") == F.col("_k"))
+    left = docs.withColumn("_key", _key(docs))
+    if takes.groupBy("_k").count().where("count > 1").isEmpty():
+        rows = left.join(takes, F.col("_key") == F.col("_k"))
     else:
-        left = docs.withColumn("_key", _key(docs))
-        left = left.withColumn("_nth", nth("_key"))
+        left = left.withColumn("_nth", F.row_number().over(Window.partitionBy("_key").orderBy("_key")))
         right = takes.withColumn("_m", F.row_number().over(Window.partitionBy("_k").orderBy(F.desc("_t"))))
         rows = left.join(right, (F.col("_key") == F.col("_k")) & (F.col("_nth") == F.col("_m")))
     copies = F.sequence(F.lit(1), F.ceil(F.col("_t") / F.col("_n")).cast("int"))

@@ -34,7 +34,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, small
 
 PIVOTS = 16
 BANDS = 5
@@ -177,9 +177,11 @@ def one_of_each(docs: DataFrame, width: int = 3, max_bits: int = 3) -> DataFrame
     Rows without doc_id can't be told apart, so all of them stay. Of rows that repeat a
     doc_id, one with the least text stays.
     """
-    keep = classes(docs, width, max_bits).where("doc_id = component_id").select(F.col("doc_id").alias("_keep")).distinct()
-    named = docs.where("doc_id is not null").join(keep, F.col("doc_id").cast("bigint") == F.col("_keep"), "left_semi")
-    again = named.groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("_keep"))
+    ids = classes(docs, width, max_bits).where("doc_id is not null").groupBy("doc_id").agg(F.max(F.col("doc_id") == F.col("component_id")).alias("names"), F.count("*").alias("n"))
+    ids = cut(ids.where("n > 1 OR NOT names"))
+    gone = small(ids.where("NOT names").select(F.col("doc_id").alias("_keep")))
+    named = docs.where("doc_id is not null").join(gone, F.col("doc_id").cast("bigint") == F.col("_keep"), "left_anti")
+    again = small(ids.where("names AND n > 1").select(F.col("doc_id").alias("_keep")))
     if not again.isEmpty():
         twice = named.join(again, F.col("doc_id") == F.col("_keep"), "left_semi")
         once = named.join(again, F.col("doc_id") == F.col("_keep"), "left_anti")

@@ -216,8 +216,18 @@ def usable_for_training():
 
 
 def accepted(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of docs, with all their columns, that score below threshold."""
-    model = train(docs, labels, usable_for_training())
-    bad = score(docs, model, threshold).where(F.col("score") >= threshold).select(F.col("doc_id").alias("_bad"), F.col("h").alias("_bad_h")).distinct()
-    same = docs["doc_id"].cast("bigint").eqNullSafe(F.col("_bad")) & (F.xxhash64(docs["text"].cast("string")) == F.col("_bad_h"))
-    return docs.join(bad, same, "left_anti")
+    """The rows of docs, with all their columns, that score below threshold: one pass, without a join."""
+    weights, bias = train(docs, labels, usable_for_training())
+    shared = docs.sparkSession.sparkContext.broadcast(weights.astype(np.float32))
+    at = docs.columns.index("text")
+
+    def run(batches):
+        import pyarrow as pa
+
+        words, w = Words(), shared.value.astype(np.float64)
+        for batch in batches:
+            texts = (str(t.as_py() or "").encode("utf-8", "replace") for t in batch.column(at))
+            keep = [noisy_or(sentence_logits(words, w, t)[0] + bias) < threshold for t in texts]
+            yield batch.filter(pa.array(keep, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
