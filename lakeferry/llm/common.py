@@ -13,8 +13,13 @@ from pyspark.sql import functions as F
 _own: dict[str, str] = {}
 
 
-def _reachable(spark: SparkSession) -> None:
-    """Lets Python workers find this package where it lies, if they share its folder."""
+#: Bytes of rows that Spark hands to a Python worker at once; whole texts are long.
+BATCH_BYTES = 4 << 20
+
+
+def _prepare(spark: SparkSession) -> None:
+    """Lets Python workers find this package where it lies, if they share its folder, and bounds what they get at once."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     env = spark.sparkContext.environment
     if root not in env.get("PYTHONPATH", "").split(os.pathsep):
@@ -22,7 +27,7 @@ def _reachable(spark: SparkSession) -> None:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    _reachable(spark)
+    _prepare(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -39,6 +44,7 @@ def shared_root(spark: SparkSession) -> str:
 
 def work_dir(spark: SparkSession, name: str) -> str:
     """URI of a fresh folder, made, in the shared one."""
+    _prepare(spark)
     uri = f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
     path = spark._jvm.org.apache.hadoop.fs.Path(uri)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(path)

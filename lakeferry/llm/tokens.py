@@ -15,7 +15,7 @@ import os
 import numpy as np
 
 _SLICE = 1 << 22
-_CACHE = 600_000
+_CACHE = 1_000_000
 _JOIN = 256
 _known: dict = {}
 
@@ -23,12 +23,11 @@ _known: dict = {}
 class Encoder:
     def __init__(self, path: str, special_as_text: bool = False):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer, normalizers, pre_tokenizers
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = special_as_text
-        self.plain = Tokenizer.from_file(path)
-        self.plain.normalizer = normalizers.Sequence([])
+        self.plain = Tokenizer(self.tokenizer.model)  # shares the vocabulary's memory
         self.plain.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         vocab = self.tokenizer.get_vocab(with_added_tokens=True)
         self.dtype = np.dtype("<u2" if max(vocab.values()) < 1 << 16 else "<u4")
@@ -127,18 +126,19 @@ class Encoder:
         _, offsets, raw = words.dictionary.buffers()
         raw, at = raw.to_pybytes() if raw else b"", np.frombuffer(offsets, np.int64)[: len(words.dictionary) + 1].tolist()
         unique = [raw[a:b] for a, b in zip(at, at[1:], strict=False)]
-        if len(self.words) + len(unique) > _CACHE + 1:
-            self.words = {b"": b""}
+        if len(self.words) + len(unique) > _CACHE + 1:  # what this batch needs stays, and with it all that is frequent
+            self.words = {b"": b""} | {w: self.words[w] for w in unique if w in self.words}
         known = self.words
         if new := [w for w in unique if w not in known]:
             self._learn(new)
         data = [known[w] for w in unique]
-        size = np.fromiter(map(len, data), np.int64, len(data)) // self.dtype.itemsize
+        size = np.fromiter(map(len, data), np.int32, len(data)) // self.dtype.itemsize
         pool = np.frombuffer(b"".join(data), self.dtype)
         n = size[index]
-        start = (np.cumsum(size) - size)[index] - (np.cumsum(n) - n)
-        flat = pool[np.arange(int(n.sum())) + np.repeat(start, n)]
-        return flat, np.add.reduceat(n, np.cumsum(per_text) - per_text)
+        start = (np.cumsum(size, dtype=np.int32) - size)[index] - (np.cumsum(n, dtype=np.int32) - n)
+        at = np.repeat(start, n)
+        at += np.arange(len(at), dtype=np.int32)
+        return pool[at], np.add.reduceat(n, np.cumsum(per_text) - per_text, dtype=np.int64)
 
 
 def with_end(flat: np.ndarray, counts: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
