@@ -29,7 +29,7 @@ BLOCK = 1 << 19
 END = 2
 
 
-def _tokenised(docs: DataFrame, path: str, end: int, size: int) -> DataFrame:
+def _tokenised(docs: DataFrame, path: str, end: int, size: int, cache: int) -> DataFrame:
     """part, at (ids before it in its partition), doc_id, n, ids: in order within each partition; and a row of part -1 with the counts of each task's ids, compressed."""
     from .tokens import Encoder, groups, with_end
 
@@ -37,7 +37,7 @@ def _tokenised(docs: DataFrame, path: str, end: int, size: int) -> DataFrame:
         import pyarrow as pa
         from pyspark import TaskContext
 
-        encoder, part, at = Encoder.of(path), TaskContext.get().partitionId(), 0
+        encoder, part, at = Encoder.of(path, cache=cache), TaskContext.get().partitionId(), 0
         names, counts = ["part", "at", "doc_id", "n", "ids"], np.zeros(size, np.int64)
         for batch in batches:
             for i, j in groups(batch.column(1)):
@@ -60,15 +60,15 @@ def _tokenised(docs: DataFrame, path: str, end: int, size: int) -> DataFrame:
     return rows.mapInArrow(run, "part int, at bigint, doc_id bigint, n bigint, ids binary")
 
 
-def write(docs: DataFrame, folder: str, path: str, end: int = END) -> None:
-    """Writes docs' ids into folder (a URI all machines reach)."""
-    from .tokens import Encoder
+def write(docs: DataFrame, folder: str, path: str, end: int = END, cache: int | None = None) -> None:
+    """Writes docs' ids into folder (a URI all machines reach); cache: pieces each Python worker remembers."""
+    from .tokens import CACHE, Encoder
 
     spark = docs.sparkSession
     kind = Encoder.of(path).dtype
     size = max(len(Encoder.of(path).ends), end + 1)
     work = work_dir(spark, "ids")
-    _tokenised(docs, path, end, size).write.mode("overwrite").option("compression", "zstd").parquet(work)
+    _tokenised(docs, path, end, size, cache or CACHE).write.mode("overwrite").option("compression", "zstd").parquet(work)
     kept = spark.read.parquet(work)
 
     def count(batches):

@@ -15,7 +15,8 @@ import os
 import numpy as np
 
 _SLICE = 1 << 22
-_CACHE = 1_000_000
+#: Pieces an encoder remembers, about 150 bytes each.
+CACHE = 1_000_000
 _JOIN = 256
 _known: dict = {}
 
@@ -35,13 +36,15 @@ class Encoder:
         self.ends[[i for w, i in vocab.items() if w.endswith("</w>")]] = True
         #: Ids of pieces, both as bytes.
         self.words: dict[bytes, bytes] = {b"": b""}
+        self.cache = CACHE
 
     @staticmethod
-    def of(path: str, special_as_text: bool = False) -> Encoder:
-        """This process's encoder for a file."""
+    def of(path: str, special_as_text: bool = False, cache: int = CACHE) -> Encoder:
+        """This process's encoder for a file, to remember so many pieces."""
         key = (path, special_as_text)
         if key not in _known:
             _known[key] = Encoder(*key)
+        _known[key].cache = cache
         return _known[key]
 
     def _ids(self, texts: list[str], tokenizer=None) -> list[np.ndarray]:
@@ -91,6 +94,8 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts in turn, and how many each text has."""
+        import pyarrow as pa
+
         parts, owner = [], []
         for i, t in enumerate(texts):
             at = 0
@@ -110,6 +115,7 @@ class Encoder:
             ids.append(flat)
             np.add.at(counts, owner[i:j], n)
             i = j
+        pa.default_memory_pool().release_unused()
         return (np.concatenate(ids) if ids else np.zeros(0, self.dtype)), counts
 
     def _encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -126,7 +132,7 @@ class Encoder:
         _, offsets, raw = words.dictionary.buffers()
         raw, at = raw.to_pybytes() if raw else b"", np.frombuffer(offsets, np.int64)[: len(words.dictionary) + 1].tolist()
         unique = [raw[a:b] for a, b in zip(at, at[1:], strict=False)]
-        if len(self.words) + len(unique) > _CACHE + 1:  # what this batch needs stays, and with it all that is frequent
+        if len(self.words) + len(unique) > self.cache + 1:  # what this batch needs stays, and with it all that is frequent
             self.words = {b"": b""} | {w: self.words[w] for w in unique if w in self.words}
         known = self.words
         if new := [w for w in unique if w not in known]:

@@ -33,7 +33,7 @@ RARE = 5
 Z = 5.0
 STEMS = (4, 5, 6)
 THRESHOLD = 0.3
-_SLICE = 1 << 20
+_SLICE = 1 << 18
 _BASE = 0x9E3779B97F4A7C15 | 1
 _BIAS = -6.0
 
