@@ -11,6 +11,10 @@ too long by itself exceeds the budget. Each window opens with the system turn (t
 the last turns of the window before as far as `history` and the budget allow, and then has its own turns. Loss is on the texts of
 its own assistant turns: repeated ones are masked, so each counts once.
 
+Scale. A conversation of any length is dealt out by parts of 2**PART_BITS consecutive turn numbers: sums by part, then a window
+inside each part, give the prefix sums, and a window finds the next by the index of its first turn. Only `digests` brings a
+conversation together again: a hash of all of its text is one value.
+
 Cases: null role or text = empty. Null conv_id: one conversation. Turns are ordered by turn (nulls first), role, text; rows that repeat are
 turns each. Empty table: no windows. Other columns are left out.
 """
@@ -20,9 +24,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import cut
+
 BUDGET = 1024
 HISTORY = 256
 TARGET = "assistant"
+#: A part of a conversation holds turns that agree but for so many low bits of their number.
+PART_BITS = 8
 _CONTROL = r"([<\[])(?=/?s>|/?INST\]|</?SYS>>)"
 
 
@@ -52,27 +60,35 @@ def windows(turns: DataFrame, budget: int = BUDGET, history: int = HISTORY, coun
     """conv_id, window, formatted, n_repeat (leading turns that repeat), n_new, loss (spans from, length in formatted, from 0), n_tokens."""
     some = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
     rows = turns.select(F.coalesce(F.col("conv_id").cast("string"), F.lit("null")).alias("k"), F.col("conv_id").alias("conv_id"), F.col("turn").alias("turn"), some("role").alias("role"), some("text").alias("text"))
-    conv = Window.partitionBy("k")
-    order = conv.orderBy(F.col("turn").asc_nulls_first(), "role", "text")
-    rows = rows.withColumn("i", F.row_number().over(order) - 1)
+    # a long conversation is cut into parts of consecutive turns; sums by part, then within it
+    rows = rows.withColumn("part", F.coalesce(F.shiftright(F.col("turn").cast("bigint"), PART_BITS), F.lit(-(1 << 63))))
     start = F.concat(F.lit("<s>"), escape_role(F.col("role")), F.lit("\n"))
-    rows = rows.select("k", "conv_id", "i", "turn", (F.col("role") == TARGET).alias("target"), ((F.col("role") == "system") & (F.col("i") == 0)).alias("system"), start.alias("start"), escape(F.col("text")).alias("body"))
+    order = Window.partitionBy("k", "part").orderBy(F.col("turn").asc_nulls_first(), "role", "text")
+    rows = rows.select("k", "conv_id", "part", F.row_number().over(order).alias("nth"), (F.col("role") == TARGET).alias("target"), (F.col("role") == "system").alias("system"), start.alias("start"), escape(F.col("text")).alias("body"))
     rows = rows.withColumn("piece", F.concat("start", "body", F.lit("</s>\n"))).withColumn("from", F.length("start")).withColumn("len", F.length("body")).drop("start", "body")
     rows = rows.withColumn("n", count(F.col("piece")))
-    rows = rows.withColumn("sys", F.coalesce(F.max(F.when(F.col("system"), F.col("n"))).over(conv), F.lit(0)))
+    rows = rows.withColumn("within", F.sum("n").over(Window.partitionBy("k", "part").orderBy("nth").rowsBetween(Window.unboundedPreceding, 0)))
+    opening = F.max(F.when((F.col("nth") == 1) & F.col("system"), F.col("n")))
+    parts = cut(rows.groupBy("k", "part").agg(F.count("*").alias("rows"), F.sum("n").alias("words"), opening.alias("opening")))
+    ahead = Window.partitionBy("k").orderBy("part")
+    past = ahead.rowsBetween(Window.unboundedPreceding, -1)
+    earlier = lambda c: F.coalesce(F.sum(c).over(past), F.lit(0))
+    system_turn = F.first("opening").over(ahead.rowsBetween(Window.unboundedPreceding, 0))
+    parts = parts.select("k", "part", earlier("rows").alias("rows_before"), earlier("words").alias("words_before"), F.coalesce(system_turn, F.lit(0)).alias("sys"))
+    rows = rows.join(parts, ["k", "part"]).withColumn("i", F.col("rows_before") + F.col("nth") - 1).withColumn("system", F.col("system") & (F.col("i") == 0))
     own = F.when(F.col("system"), F.lit(0)).otherwise(F.col("n"))
-    rows = rows.withColumn("own", own).withColumn("after", F.sum("own").over(conv.orderBy("i").rowsBetween(Window.unboundedPreceding, 0))).withColumn("before", F.col("after") - F.col("own"))
+    rows = rows.withColumn("own", own).withColumn("after", F.col("words_before") + F.col("within") - F.col("sys")).withColumn("before", F.col("after") - F.col("own"))
     stride = F.greatest(F.lit(1), F.lit(budget - history) - F.col("sys"))
     span = F.floor(F.col("before") / stride)
     crosses = (F.col("after") > (span + 1) * stride).cast("bigint")
     rows = rows.withColumn("w", (2 * span + crosses).cast("bigint"))
-    each = rows.groupBy("k", "w").agg(F.min("before").alias("opens"), F.sum("own").alias("own"), F.max("sys").alias("sys"))
+    each = cut(rows.groupBy("k", "w").agg(F.min("i").alias("first"), F.max("i").alias("last"), F.min("before").alias("opens"), F.sum("own").alias("own"), F.max("sys").alias("sys")))
     room = F.greatest(F.lit(0), F.least(F.lit(history), F.lit(budget) - F.col("sys") - F.col("own")))
-    ahead = Window.partitionBy("k").orderBy("w")
-    each = each.select("k", "w", F.lead("w").over(ahead).alias("next"), F.lead(F.col("opens") - room).over(ahead).alias("reach"))
+    after = each.select("k", (F.col("first") - 1).alias("last"), F.col("w").alias("next"), (F.col("opens") - room).alias("reach"))
+    reached = each.select("k", "w", "last").join(after, ["k", "last"]).drop("last")
     part = lambda kind: F.struct(F.lit(kind).alias("kind"), F.col("i"), F.col("piece"), F.col("target"), F.col("from"), F.col("len"), F.col("n"))
     fresh = rows.select("k", "conv_id", "w", part(2).alias("t"))
-    back = rows.where(~F.col("system")).join(each.where("next is not null"), ["k", "w"]).where(F.col("before") >= F.col("reach")).select("k", "conv_id", F.col("next").alias("w"), part(1).alias("t"))
+    back = rows.where(~F.col("system")).join(reached, ["k", "w"]).where(F.col("before") >= F.col("reach")).select("k", "conv_id", F.col("next").alias("w"), part(1).alias("t"))
     system = rows.where("system").drop("w").join(each.where("w > 0").select("k", "w"), "k").select("k", "conv_id", "w", part(0).alias("t"))
     all_ = fresh.union(back).union(system).groupBy("k", "conv_id", "w").agg(F.sort_array(F.collect_list("t")).alias("ts"))
     zero = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast("array<struct<from:bigint,len:bigint>>").alias("spans"))

@@ -341,6 +341,17 @@ def test_chat_windows(spark):
         assert repeated <= 60
 
 
+def test_chat_parts_don_t_matter(spark, monkeypatch):
+    r = random.Random(18)
+    rows = [(c, t, "system" if t in (-3, 4) and c % 2 else ("user", "assistant")[t % 2], "w " * r.randint(0, 60)) for c in range(6) for t in range(-3, r.randint(1, 25))]
+    rows += [(2, None, "system", "no turn"), (3, 2**62, "assistant", "last"), (3, 2**62, "assistant", "last"), (None, 1, "user", "x")]
+    seen = []
+    for bits in (62, 2, 0):
+        monkeypatch.setattr(chat, "PART_BITS", bits)
+        seen.append(sorted(map(str, chat.windows(_chat(spark, rows), 120, 40).collect())))
+    assert seen[0] == seen[1] == seen[2] and len(seen[0]) > 12
+
+
 def test_chat_uses_no_python(spark):
     plan = chat.digests(chat.read_back(chat.windows(_chat(spark, ODD_TURNS))))._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
