@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, small
 
 BUDGET = 1024
 HISTORY = 256
@@ -67,14 +67,14 @@ def windows(turns: DataFrame, budget: int = BUDGET, history: int = HISTORY, coun
     rows = rows.select("k", "conv_id", "part", F.row_number().over(order).alias("nth"), (F.col("role") == TARGET).alias("target"), (F.col("role") == "system").alias("system"), start.alias("start"), escape(F.col("text")).alias("body"))
     rows = rows.withColumn("piece", F.concat("start", "body", F.lit("</s>\n"))).withColumn("from", F.length("start")).withColumn("len", F.length("body")).drop("start", "body")
     rows = rows.withColumn("n", count(F.col("piece")))
-    rows = rows.withColumn("within", F.sum("n").over(Window.partitionBy("k", "part").orderBy("nth").rowsBetween(Window.unboundedPreceding, 0)))
+    rows = cut(rows.withColumn("within", F.sum("n").over(Window.partitionBy("k", "part").orderBy("nth").rowsBetween(Window.unboundedPreceding, 0))))
     opening = F.max(F.when((F.col("nth") == 1) & F.col("system"), F.col("n")))
-    parts = cut(rows.groupBy("k", "part").agg(F.count("*").alias("rows"), F.sum("n").alias("words"), opening.alias("opening")))
+    parts = rows.groupBy("k", "part").agg(F.count("*").alias("rows"), F.sum("n").alias("words"), opening.alias("opening"))
     ahead = Window.partitionBy("k").orderBy("part")
     past = ahead.rowsBetween(Window.unboundedPreceding, -1)
     earlier = lambda c: F.coalesce(F.sum(c).over(past), F.lit(0))
     system_turn = F.first("opening").over(ahead.rowsBetween(Window.unboundedPreceding, 0))
-    parts = parts.select("k", "part", earlier("rows").alias("rows_before"), earlier("words").alias("words_before"), F.coalesce(system_turn, F.lit(0)).alias("sys"))
+    parts = small(parts.select("k", "part", earlier("rows").alias("rows_before"), earlier("words").alias("words_before"), F.coalesce(system_turn, F.lit(0)).alias("sys")))
     rows = rows.join(parts, ["k", "part"]).withColumn("i", F.col("rows_before") + F.col("nth") - 1).withColumn("system", F.col("system") & (F.col("i") == 0))
     own = F.when(F.col("system"), F.lit(0)).otherwise(F.col("n"))
     rows = rows.withColumn("own", own).withColumn("after", F.col("words_before") + F.col("within") - F.col("sys")).withColumn("before", F.col("after") - F.col("own"))
