@@ -16,7 +16,10 @@ differences leave BANDS - max_bits blocks equal, so every link shares a key made
 of that many blocks (pivot coordinates of random fingerprints lie too close
 together to serve as keys: a window of 3 on one coordinate holds half of all).
 Keys that many fingerprints share are joined by a longer key: the same rule
-once more within the bits that the key leaves open. Components are found by
+once more within the bits that the key leaves open. Where even that key is shared by more than CROWD,
+links are drawn without pairs: a pair within `max_bits` has some code within half of them (rounded down) of the one and the rest of the
+other, so all around a code link to the smallest that is within that half; a fingerprint costs as many rows as there are
+codes around it, however many are near. Components are found by
 alternating large and small stars, each written to the shared folder.
 
 Cases: null text = empty. Null doc_id: the row is kept and linked; the class's name is
@@ -30,6 +33,7 @@ from __future__ import annotations
 import random
 from functools import reduce
 from itertools import combinations
+from math import comb
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -40,6 +44,8 @@ PIVOTS = 16
 BANDS = 5
 #: Fingerprints under one key that are still joined directly.
 DIRECT = 64
+#: Fingerprints under one longer key that are still paired.
+CROWD = 256
 _SEED = 42
 _SLICE = 1 << 16
 
@@ -113,7 +119,10 @@ def _near(max_bits: int) -> Column:
 
 
 def links(distinct: DataFrame, max_bits: int = 3) -> DataFrame:
-    """Pairs (u, v), u < v, of the distinct column fp that differ by max_bits or fewer, each once."""
+    """Pairs (u, v), u < v, of the distinct column fp that differ by max_bits or fewer, each once.
+
+    Of crowds, not all pairs, but enough of them to connect the same fingerprints.
+    """
     level1 = _keys(list(range(64)), BANDS, BANDS - max_bits)
     fps = distinct.select("fp", _pivot_table(F.col("fp")).alias("pd"))
     key = lambda masks: F.explode(F.array(*[F.struct(F.lit(i).cast("smallint").alias("t"), F.col("fp").bitwiseAND(F.lit(_signed(m))).alias("k")) for i, m in enumerate(masks)]))
@@ -130,7 +139,12 @@ def links(distinct: DataFrame, max_bits: int = 3) -> DataFrame:
             sub = _keys(free, 2 * max_bits, max_bits)
             parts.append(F.when(F.col("t") == i, F.array(*[F.struct(F.lit(j).cast("smallint").alias("s"), F.col("fp").bitwiseAND(F.lit(_signed(m | x))).alias("q")) for j, x in enumerate(sub)])))
         finer = many.select("fp", "pd", "t", F.explode(F.coalesce(*parts)).alias("key")).select("fp", "pd", "t", "key.*")
-        found.append(_pairs(finer, ["t", "s", "q"], max_bits))
+        by = ["t", "s", "q"]
+        dense = cut(finer.groupBy(*by).agg(F.count("*").alias("n")).where(F.col("n") > CROWD).drop("n"))
+        if not dense.isEmpty():
+            found.append(_stars(finer.join(dense, by, "left_semi").select("fp").distinct(), max_bits))
+            finer = finer.join(dense, by, "left_anti")
+        found.append(_pairs(finer, by, max_bits))
     return reduce(DataFrame.union, found).distinct()
 
 
@@ -140,6 +154,17 @@ def _pairs(keyed: DataFrame, by: list[str], max_bits: int) -> DataFrame:
     return a.join(b, same & (F.col("a.fp") < F.col("b.fp")) & _near(max_bits)).select(F.col("a.fp").alias("u"), F.col("b.fp").alias("v"))
 
 
+def _stars(fps: DataFrame, max_bits: int) -> DataFrame:
+    """Pairs (u, v) of distinct fps within max_bits that connect all such pairs: around each code, all with one."""
+    half = max_bits // 2
+    flips = [_signed(sum(1 << b for b in c)) for n in range(max_bits - half + 1) for c in combinations(range(64), n)]
+    close = sum(comb(64, n) for n in range(half + 1))  # the first of the flips change at most half
+    masks = F.split(F.lit(",".join(map(str, flips))), ",").cast("array<bigint>")
+    around = fps.select("fp", F.posexplode(masks).alias("i", "mask")).select("fp", F.col("fp").bitwiseXOR(F.col("mask")).alias("code"), (F.col("i") < close).alias("close"))
+    hubs = around.where("close").groupBy("code").agg(F.min("fp").alias("hub"))
+    return around.join(hubs, "code").where("fp <> hub").select(F.least("fp", "hub").alias("u"), F.greatest("fp", "hub").alias("v")).distinct()
+
+
 def components(edges: DataFrame) -> DataFrame:
     """node, root (the smallest node reachable) of every node of the edges (u, v)."""
     sides = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v").distinct()

@@ -383,6 +383,29 @@ def test_simhash_links_are_all(spark, monkeypatch):
         assert len(got) == len(set(got)) and set(got) == want
 
 
+def test_simhash_crowds(spark, monkeypatch):
+    """Where keys are too crowded for pairs, links are true and connect what all pairs connect."""
+    from .test_queries import slow_classes
+
+    monkeypatch.setattr(simhash, "DIRECT", 3)
+    monkeypatch.setattr(simhash, "CROWD", 5)
+    r = random.Random(19)
+    near = lambda x, n: x ^ sum(1 << b for b in r.sample(range(64), n))
+    fps = sorted({near(x, r.randint(0, 5)) for x in (0, r.getrandbits(64), r.getrandbits(64)) for _ in range(50)} | {r.getrandbits(64) for _ in range(20)})
+    called = []
+    real = simhash._stars
+    monkeypatch.setattr(simhash, "_stars", lambda *a: called.append(1) or real(*a))
+    edges = simhash.links(spark.createDataFrame([(simhash._signed(x),) for x in fps], "fp bigint")).collect()
+    assert called and all(e.u < e.v and ((e.u ^ e.v) % 2**64).bit_count() <= 3 for e in edges) and len(set(edges)) == len(edges)
+    root = {x: x for x in fps}
+    find = lambda x: x if root[x] == x else find(root[x])
+    for e in edges:
+        a, b = find(e.u % 2**64), find(e.v % 2**64)
+        root[max(a, b)] = min(a, b)
+    want = slow_classes({x: x for x in fps})
+    assert {x: find(x) for x in fps} == want and len(set(want.values())) < len(fps)
+
+
 def test_components(spark):
     r = random.Random(10)
     edges = [(r.randint(0, 300), r.randint(0, 300)) for _ in range(180)] + [(i, i + 1) for i in range(1000, 1100)]
