@@ -74,18 +74,20 @@ def fingerprint(text: str | None, width: int = 3) -> int:
     return int(np.packbits(ones * 2 > n, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, width: int = 3) -> DataFrame:
-    """doc_id, fp (bigint: the 64 bits) of every row."""
+def fingerprints(docs: DataFrame, width: int = 3, hashed: bool = False) -> DataFrame:
+    """doc_id, fp (bigint: the 64 bits) of every row; hashed: h, its text's hash, too."""
 
     def run(batches):
         import numpy as np
         import pyarrow as pa
 
         for batch in batches:
-            fps = [fingerprint(t.as_py(), width) for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.array(fps, "<u8").view("<i8"))], ["doc_id", "fp"])
+            fps = pa.array(np.array([fingerprint(t.as_py(), width) for t in batch.column(1)], "<u8").view("<i8"))
+            yield pa.RecordBatch.from_arrays([batch.column(0), fps, *batch.columns[2:]], ["doc_id", "fp", *["h"][: hashed]])
 
-    return docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).mapInArrow(run, "doc_id bigint, fp bigint")
+    text = F.col("text").cast("string")
+    rows = docs.select(F.col("doc_id").cast("bigint"), text, *[F.xxhash64(text).alias("h")][: hashed])
+    return rows.mapInArrow(run, "doc_id bigint, fp bigint" + ", h bigint" * hashed)
 
 
 def _blocks(bits: list[int], n: int) -> list[int]:
@@ -196,20 +198,28 @@ def classes(docs: DataFrame, width: int = 3, max_bits: int = 3) -> DataFrame:
     return fps.join(of_fp, "fp").select("doc_id", "fp", "component_id")
 
 
-def one_of_each(docs: DataFrame, width: int = 3, max_bits: int = 3) -> DataFrame:
-    """The rows of docs, with all their columns, whose doc_id names their class.
+def keep_first(docs: DataFrame, rows: DataFrame) -> DataFrame:
+    """Of each root of rows (doc_id, h: the text's hash, root), docs' row that is first by doc_id and h, with all its columns.
 
-    Rows without doc_id can't be told apart, so all of them stay. Of rows that repeat a
-    doc_id, one with the least text stays.
+    Rows without doc_id can't be told apart, so all of them stay. Of rows that repeat both doc_id and text, one stays.
     """
-    ids = classes(docs, width, max_bits).where("doc_id is not null").groupBy("doc_id").agg(F.max(F.col("doc_id") == F.col("component_id")).alias("names"), F.count("*").alias("n"))
-    ids = cut(ids.where("n > 1 OR NOT names"))
-    gone = small(ids.where("NOT names").select(F.col("doc_id").alias("_keep")))
-    named = docs.where("doc_id is not null").join(gone, F.col("doc_id").cast("bigint") == F.col("_keep"), "left_anti")
-    again = small(ids.where("names AND n > 1").select(F.col("doc_id").alias("_keep")))
+    known = rows.where("doc_id is not null").groupBy("root", "doc_id", "h").agg(F.count("*").alias("n"))
+    known = cut(known)
+    first = known.groupBy("root").agg(F.min(F.struct("doc_id", "h")).alias("first"))
+    ids = cut(known.join(first, "root").withColumn("names", F.struct("doc_id", "h") == F.col("first")).where("n > 1 OR NOT names"))
+    key = [F.col("doc_id").alias("_keep"), F.col("h").alias("_keep_h")]
+    same = (F.col("doc_id").cast("bigint") == F.col("_keep")) & (F.xxhash64(F.col("text").cast("string")) == F.col("_keep_h"))
+    named = docs.where("doc_id is not null").join(small(ids.where("NOT names").select(*key)), same, "left_anti")
+    again = small(ids.where("names AND n > 1").select(*key))
     if not again.isEmpty():
-        twice = named.join(again, F.col("doc_id") == F.col("_keep"), "left_semi")
-        once = named.join(again, F.col("doc_id") == F.col("_keep"), "left_anti")
+        twice, once = named.join(again, same, "left_semi"), named.join(again, same, "left_anti")
         row = F.struct(F.coalesce(F.col("text"), F.lit("")).alias("_t"), *docs.columns)
-        named = once.union(twice.groupBy("doc_id").agg(F.min(row).alias("_r")).select(*[F.col("_r")[c].alias(c) for c in docs.columns]))
+        named = once.union(twice.groupBy("doc_id", F.xxhash64(F.col("text").cast("string"))).agg(F.min(row).alias("_r")).select(*[F.col("_r")[c].alias(c) for c in docs.columns]))
     return named.unionByName(docs.where("doc_id is null"))
+
+
+def one_of_each(docs: DataFrame, width: int = 3, max_bits: int = 3) -> DataFrame:
+    """Of each class, the row of docs that keep_first keeps."""
+    fps = cut(fingerprints(docs, width, hashed=True))
+    comp = components(links(cut(fps.select("fp").distinct()), max_bits))
+    return keep_first(docs, fps.join(comp, F.col("fp") == F.col("node"), "left").select("doc_id", "h", F.coalesce("root", "fp").alias("root")))

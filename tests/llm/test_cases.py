@@ -418,3 +418,11 @@ def test_components(spark):
     touched = {x for e in edges for x in e if e[0] != e[1]}
     assert {k: got.get(k, k) for k in touched} == {k: find(k) for k in touched}
     assert simhash.components(spark.createDataFrame([], "u bigint, v bigint")).count() == 0
+
+
+def test_simhash_repeated_ids(spark):
+    """Rows of one doc_id are told apart by their texts: none goes that is a near copy of nothing."""
+    a, b = "the quick brown fox jumps over it", "an entirely different set of words is here"
+    for rows in ([(7, a), (7, b)], [(3, a), (7, a), (7, b)], [(3, a), (7, a), (7, b), (7, b)]):
+        kept = simhash.one_of_each(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+        assert sorted(map(tuple, kept)) == sorted([rows[0], (7, b)])
