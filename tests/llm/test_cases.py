@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from lakeferry.llm import binary, chat, decontam, huffman, langid, mixing, separators, simhash, tokens, topk, toxicity, warc
+from lakeferry.llm import binary, chat, decontam, huffman, langid, mixing, separators, shingles, simhash, tokens, topk, toxicity, warc
 from lakeferry.llm.common import work_dir
 from lakeferry.llm.queries import tokenizer
 
@@ -426,3 +426,48 @@ def test_simhash_repeated_ids(spark):
     for rows in ([(7, a), (7, b)], [(3, a), (7, a), (7, b)], [(3, a), (7, a), (7, b), (7, b)]):
         kept = simhash.one_of_each(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
         assert sorted(map(tuple, kept)) == sorted([rows[0], (7, b)])
+
+
+def test_near_copies_are_all(spark, monkeypatch):
+    """Classes of every pair of 5-word Jaccard 0.8 or more, SimHash bits however many, also where many share a shingle."""
+    r = random.Random(21)
+    word = lambda: "".join(r.choice("abcdefgh") for _ in range(5))
+    line = " ".join(word() for _ in range(9))
+    rows, texts = [], []
+    for size, copies in ((400, 12), (60, 8), (200, 40), (5, 3), (3, 3), (0, 2)):
+        base = [word() for _ in range(size)]
+        for i in range(copies):
+            ws = list(base)
+            for _ in range(r.randint(0, max(1, size // 25)) if size else 0):
+                ws[r.randrange(size)] = word()
+            texts.append(" ".join(ws[: size - i // 3] + ([line] if i % 2 and size > 100 else [])))
+    texts += [" ".join([word() for _ in range(30)] + [line]) for _ in range(30)] + [texts[0], texts[0].upper()]
+    rows = list(enumerate(texts))
+    r.shuffle(rows)
+
+    def shingle_set(t):
+        ws = t.lower().split()
+        return {tuple(ws[i : i + 5]) for i in range(max(1, len(ws) - 4))} if ws else set()
+
+    sets = {k: shingle_set(t) for k, t in rows}
+    near = lambda a, b: 5 * len(a & b) >= 4 * len(a | b)
+    root = {k: k for k in sets}
+    find = lambda x: x if root[x] == x else find(root[x])
+    for a in sets:
+        for b in sets:
+            if a < b and near(sets[a], sets[b]):
+                x, y = find(a), find(b)
+                root[max(x, y)] = min(x, y)
+    want = sorted(k for k in sets if find(k) == k)
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert len(simhash.one_of_each(df).collect()) > len(want)
+    for direct in (64, 3):
+        monkeypatch.setattr(shingles, "DIRECT", direct)
+        got = sorted(map(tuple, shingles.one_of_each(df).collect()))
+        assert got == [(k, texts[k]) for k in want]
+
+
+def test_near_copies_odd_rows(odd_docs, no_docs):
+    kept = shingles.one_of_each(odd_docs)
+    assert kept.columns == odd_docs.columns and sorted(r.doc_id or 0 for r in kept.collect()) == [0, 0, 1, 3, 6, 7, 8, 9]
+    assert shingles.one_of_each(no_docs).count() == 0
