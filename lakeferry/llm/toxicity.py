@@ -3,13 +3,13 @@
 A document is a bag of sentences (cut at . ! ? and line ends). A sentence's logit is a bias
 plus the weights of its words (runs of ASCII letters, digits, apostrophe and anything beyond ASCII, A-Z
 lower-cased) and of their first 4, 5 and 6 bytes (stems of inflected words), hashed into 2**BITS buckets; the document's probability is the noisy-or of
-its sentences': 1 - prod(1 - p). Only documents have labels; training pushes them down to the sentences,
+its sentences': 1 - prod(1 - p), where a sentence without any word of weight counts nothing, so that length alone offends nobody. Only documents have labels; training pushes them down to the sentences,
 and the sentences above `threshold` are where the document offends.
 
 A bucket
 gets a weight if at least RARE documents of the sample hold it, and toxic ones exceed their share among
-these by Z standard deviations. The classifier is fitted on the driver on at most SAMPLE labelled documents, the first by hash of the id,
-of at most SAMPLE_CHARS characters each. Scoring runs over whole texts in Arrow batches with
+these by Z standard deviations. The classifier is fitted on the driver on at most SAMPLE labelled documents, the first by hash of the id and the text, as many as
+SAMPLE_BYTES hold, long ones included (only a text that alone is larger is left out). Scoring runs over whole texts in Arrow batches with
 numpy alone: word hashes are differences of one running polynomial sum. A text of more than
 _SLICE bytes is taken in pieces cut between words; its sentence logits carry over.
 
@@ -28,7 +28,7 @@ from .common import held_out
 
 BITS = 18
 SAMPLE = 4000
-SAMPLE_CHARS = 20_000
+SAMPLE_BYTES = 16 << 20
 RARE = 5
 Z = 5.0
 STEMS = (4, 5, 6)
@@ -99,21 +99,24 @@ def _pieces(data: bytes):
 
 
 def sentence_logits(words: Words, weights: np.ndarray, data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Logit, first and last byte of every sentence that has words."""
-    logit, first, last = [], [], []
+    """Logit (minus infinity: no word of weight), first and last byte of every sentence that has words."""
+    logit, telling, first, last = [], [], [], []
     at, open_ = 0, False
     for part in _pieces(data):
         bucket, start, end, sentence = words.of(part)
         if len(start):
             new = np.flatnonzero(np.diff(sentence, prepend=-1))
-            s = np.add.reduceat(weights[bucket].sum(0), new)
+            w = weights[bucket]
+            s, some = np.add.reduceat(w.sum(0), new), np.logical_or.reduceat((w != 0).any(0), new)
             f, l = start[new] + at, np.append(end[new[1:] - 1], end[-1]) + at
             if open_ and sentence[0] == 0:  # the last piece ended within this sentence
                 logit[-1][-1] += s[0]
+                telling[-1][-1] |= some[0]
                 last[-1][-1] = l[0]
-                s, f, l = s[1:], f[1:], l[1:]
+                s, some, f, l = s[1:], some[1:], f[1:], l[1:]
             if len(s):
                 logit.append(s)
+                telling.append(some)
                 first.append(f)
                 last.append(l)
         stops = np.flatnonzero(_STOP[np.frombuffer(part, np.uint8)])
@@ -122,7 +125,7 @@ def sentence_logits(words: Words, weights: np.ndarray, data: bytes) -> tuple[np.
         at += len(part)
     if not logit:
         return np.zeros(0), np.zeros(0, np.int64), np.zeros(0, np.int64)
-    return np.concatenate(logit), np.concatenate(first), np.concatenate(last)
+    return np.where(np.concatenate(telling), np.concatenate(logit), -np.inf), np.concatenate(first), np.concatenate(last)
 
 
 def noisy_or(logits: np.ndarray) -> float:
@@ -158,7 +161,9 @@ def fit(texts: list[bytes], labels: list[int], epochs: int = 80, rate: float = 0
     telling = (held >= RARE) & (toxic - held * share >= Z * np.sqrt(held * share * (1 - share)))
     keep = telling[bucket]
     used, inside = np.unique(bucket[keep], return_inverse=True)
-    sent = sent[keep]
+    # sentences without telling features say nothing, and don't fit the bias
+    active, sent = np.unique(sent[keep], return_inverse=True)
+    doc, sents = doc[active], len(active)
     x, m, v = np.zeros(len(used) + 1), np.zeros(len(used) + 1), np.zeros(len(used) + 1)
     x[-1] = bias
     for t in range(1, epochs + 1):
@@ -179,9 +184,12 @@ def train(docs: DataFrame, labels: DataFrame, usable=None) -> tuple[np.ndarray,
     known = labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), (F.col("toxic") > 0).cast("int").alias("toxic")).where("toxic is not null")
     if usable is not None:
         known = known.where(usable)
-    text = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")).where(F.length("text") <= SAMPLE_CHARS)
-    ids = text.select("doc_id").join(known, "doc_id").distinct().orderBy(F.xxhash64("doc_id"), "toxic").limit(SAMPLE)
-    rows = text.join(F.broadcast(ids), "doc_id").collect()
+    text = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")).where("text is not null").withColumn("h", F.xxhash64("text"))
+    ids = text.select("doc_id", "h", F.octet_length("text").alias("size")).join(known, "doc_id").where(F.col("size") <= SAMPLE_BYTES).distinct()
+    ids = ids.orderBy(F.xxhash64("doc_id", "h"), "doc_id", "h", "toxic", "size").limit(SAMPLE).collect()
+    room = np.cumsum([r["size"] for r in ids]) <= SAMPLE_BYTES
+    ids = docs.sparkSession.createDataFrame([(r.doc_id, r.h, r.toxic) for r, ok in zip(ids, room, strict=True) if ok], "doc_id bigint, h bigint, toxic int")
+    rows = text.join(F.broadcast(ids), ["doc_id", "h"]).collect()
     rows.sort(key=lambda r: (r.doc_id, r.text, r.toxic))
     return fit([r.text.encode("utf-8", "replace") for r in rows], [r.toxic for r in rows])
 

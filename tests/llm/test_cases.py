@@ -171,6 +171,20 @@ def test_toxicity_pieces_join(monkeypatch):
         assert np.allclose(a, b)
 
 
+def test_toxicity_by_length(spark, monkeypatch):
+    """Long documents train too, and no number of sentences without a telling word makes a text toxic."""
+    r = random.Random(22)
+    neutral = lambda n: " ".join(" ".join(r.choice(["sun", "rain", "road", "tree", "lake"]) for _ in range(6)) + "." for _ in range(n))
+    rows = [(i, neutral(6) + (" vile thing." if i % 4 == 0 else ""), int(i % 4 == 0)) for i in range(80)] + [(100, neutral(1500), 0)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, toxic int")
+    seen, fit = [], toxicity.fit
+    monkeypatch.setattr(toxicity, "fit", lambda texts, y: seen.extend(texts) or fit(texts, y))
+    w, b = toxicity.train(df.select("doc_id", "text"), df.select("doc_id", "toxic"))
+    assert len(seen) == len(rows) and max(map(len, seen)) > 20_000
+    p = lambda t: toxicity.noisy_or(toxicity.sentence_logits(toxicity.Words(), w, t.encode())[0] + b)
+    assert p(neutral(20_000)) < 0.3 <= p(neutral(20) + " vile thing.")
+
+
 # -- 5, 10
 
 def test_encoder_is_the_tokenizer(monkeypatch):
