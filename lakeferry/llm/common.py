@@ -17,7 +17,7 @@ _own: dict[str, str] = {}
 BATCH_BYTES = 4 << 20
 
 
-def _prepare(spark: SparkSession) -> None:
+def prepare(spark: SparkSession) -> None:
     """Lets Python workers find this package where it lies, if they share its folder, and bounds what they get at once."""
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -27,7 +27,7 @@ def _prepare(spark: SparkSession) -> None:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    _prepare(spark)
+    prepare(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -44,7 +44,7 @@ def shared_root(spark: SparkSession) -> str:
 
 def work_dir(spark: SparkSession, name: str) -> str:
     """URI of a fresh folder, made, in the shared one."""
-    _prepare(spark)
+    prepare(spark)
     uri = f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
     path = spark._jvm.org.apache.hadoop.fs.Path(uri)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(path)

@@ -38,7 +38,9 @@ from math import comb
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, small
+from . import shingles
+from .common import cut
+from .groups import components, keep_first
 
 PIVOTS = 16
 BANDS = 5
@@ -167,25 +169,6 @@ def _stars(fps: DataFrame, max_bits: int) -> DataFrame:
     return around.join(hubs, "code").where("fp <> hub").select(F.least("fp", "hub").alias("u"), F.greatest("fp", "hub").alias("v")).distinct()
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """node, root (the smallest node reachable) of every node of the edges (u, v)."""
-    sides = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v").distinct()
-    now, was = cut(sides), None
-    while True:
-        both = now.union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
-        large = cut(large)
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").select(F.explode(F.array(F.struct(F.col("u").alias("u"), F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e")).select("e.*")
-        now = cut(small.where("u <> v").distinct())
-        is_ = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if is_ == was:
-            break
-        was = is_
-    return now.select(F.col("u").alias("node"), F.col("v").alias("root"))
-
-
 def classes(docs: DataFrame, width: int = 3, max_bits: int = 3) -> DataFrame:
     """doc_id, fp (bigint), component_id: one row for every row of docs."""
     fps = cut(fingerprints(docs, width))
@@ -198,28 +181,10 @@ def classes(docs: DataFrame, width: int = 3, max_bits: int = 3) -> DataFrame:
     return fps.join(of_fp, "fp").select("doc_id", "fp", "component_id")
 
 
-def keep_first(docs: DataFrame, rows: DataFrame) -> DataFrame:
-    """Of each root of rows (doc_id, h: the text's hash, root), docs' row that is first by doc_id and h, with all its columns.
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """The rows of docs, with all their columns, that come first in their class of near copies: see groups.keep_first.
 
-    Rows without doc_id can't be told apart, so all of them stay. Of rows that repeat both doc_id and text, one stays.
+    Whole sets of five-word shingles stand in for their 64-bit digest here, as 3 of 64 bits reach few texts of a similarity
+    of 0.8; the method is the same, distances to references discard pairs and the exact distance decides: see `shingles`.
     """
-    known = rows.where("doc_id is not null").groupBy("root", "doc_id", "h").agg(F.count("*").alias("n"))
-    known = cut(known)
-    first = known.groupBy("root").agg(F.min(F.struct("doc_id", "h")).alias("first"))
-    ids = cut(known.join(first, "root").withColumn("names", F.struct("doc_id", "h") == F.col("first")).where("n > 1 OR NOT names"))
-    key = [F.col("doc_id").alias("_keep"), F.col("h").alias("_keep_h")]
-    same = (F.col("doc_id").cast("bigint") == F.col("_keep")) & (F.xxhash64(F.col("text").cast("string")) == F.col("_keep_h"))
-    named = docs.where("doc_id is not null").join(small(ids.where("NOT names").select(*key)), same, "left_anti")
-    again = small(ids.where("names AND n > 1").select(*key))
-    if not again.isEmpty():
-        twice, once = named.join(again, same, "left_semi"), named.join(again, same, "left_anti")
-        row = F.struct(F.coalesce(F.col("text"), F.lit("")).alias("_t"), *docs.columns)
-        named = once.union(twice.groupBy("doc_id", F.xxhash64(F.col("text").cast("string"))).agg(F.min(row).alias("_r")).select(*[F.col("_r")[c].alias(c) for c in docs.columns]))
-    return named.unionByName(docs.where("doc_id is null"))
-
-
-def one_of_each(docs: DataFrame, width: int = 3, max_bits: int = 3) -> DataFrame:
-    """Of each class, the row of docs that keep_first keeps."""
-    fps = cut(fingerprints(docs, width, hashed=True))
-    comp = components(links(cut(fps.select("fp").distinct()), max_bits))
-    return keep_first(docs, fps.join(comp, F.col("fp") == F.col("node"), "left").select("doc_id", "h", F.coalesce("root", "fp").alias("root")))
+    return keep_first(docs, shingles.classes(docs))

@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from lakeferry.llm import binary, chat, decontam, huffman, langid, mixing, separators, shingles, simhash, tokens, topk, toxicity, warc
+from lakeferry.llm import binary, chat, decontam, groups, huffman, langid, mixing, separators, shingles, simhash, tokens, topk, toxicity, warc
 from lakeferry.llm.common import work_dir
 from lakeferry.llm.queries import tokenizer
 
@@ -378,9 +378,7 @@ def test_simhash_odd_rows(odd_docs, no_docs):
     assert len(got) == N
     empty = {r.component_id for r in got if r.fp == 0}
     assert empty == {3} and {r.component_id for r in got if r.doc_id in (1, 2)} == {1}
-    kept = simhash.one_of_each(odd_docs)
-    assert kept.columns == odd_docs.columns and sorted(r.doc_id or 0 for r in kept.collect()) == [0, 0, 1, 3, 6, 7, 8, 9]
-    assert simhash.classes(no_docs).count() == 0 and simhash.one_of_each(no_docs).count() == 0
+    assert simhash.classes(no_docs).count() == 0
 
 
 def test_simhash_links_are_all(spark, monkeypatch):
@@ -428,10 +426,10 @@ def test_components(spark):
     for a, b in edges:
         x, y = find(a), find(b)
         root[max(x, y)] = min(x, y)
-    got = {r.node: r.root for r in simhash.components(spark.createDataFrame(edges, "u bigint, v bigint")).collect()}
+    got = {r.node: r.root for r in groups.components(spark.createDataFrame(edges, "u bigint, v bigint")).collect()}
     touched = {x for e in edges for x in e if e[0] != e[1]}
     assert {k: got.get(k, k) for k in touched} == {k: find(k) for k in touched}
-    assert simhash.components(spark.createDataFrame([], "u bigint, v bigint")).count() == 0
+    assert groups.components(spark.createDataFrame([], "u bigint, v bigint")).count() == 0
 
 
 def test_simhash_repeated_ids(spark):
@@ -440,6 +438,9 @@ def test_simhash_repeated_ids(spark):
     for rows in ([(7, a), (7, b)], [(3, a), (7, a), (7, b)], [(3, a), (7, a), (7, b), (7, b)]):
         kept = simhash.one_of_each(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
         assert sorted(map(tuple, kept)) == sorted([rows[0], (7, b)])
+    for rows in ([(None, a), (None, a), (None, b), (None, b + " too")], [(3, a), (None, a), (None, a.upper()), (None, b)]):
+        kept = simhash.one_of_each(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+        assert sorted(r.text for r in kept) == [b, a]
 
 
 def test_near_copies_are_all(spark, monkeypatch):
@@ -474,14 +475,26 @@ def test_near_copies_are_all(spark, monkeypatch):
                 root[max(x, y)] = min(x, y)
     want = sorted(k for k in sets if find(k) == k)
     df = spark.createDataFrame(rows, "doc_id bigint, text string")
-    assert len(simhash.one_of_each(df).collect()) > len(want)
     for direct in (64, 3):
         monkeypatch.setattr(shingles, "DIRECT", direct)
-        got = sorted(map(tuple, shingles.one_of_each(df).collect()))
+        got = sorted(map(tuple, simhash.one_of_each(df).collect()))
         assert got == [(k, texts[k]) for k in want]
 
 
+def test_pivot_tables_bound_the_distance():
+    r = np.random.default_rng(4)
+    for n in (1, 2, 3, 17, 400, 3000):
+        a = np.unique(r.integers(0, 1 << 63, n, dtype=np.uint64) * np.uint64(2))
+        for share in (0.0, 0.5, 0.9, 1.0):
+            b = np.unique(np.concatenate((a[r.random(len(a)) < share], r.integers(0, 1 << 63, int(n * (1 - share)) + 1, dtype=np.uint64) * np.uint64(2))))
+            real = len(np.setxor1d(a, b))
+            bound = shingles.apart(shingles.pivot_table(a), shingles.pivot_table(b))
+            assert bound <= real and (share or n < 400 or 9 * bound > len(a) + len(b))
+    same = np.zeros(300, np.uint64)  # more of one run than a byte counts: no table, nothing is discarded
+    assert shingles.pivot_table(same) == b"" and shingles.apart(b"", shingles.pivot_table(a)) == 0
+
+
 def test_near_copies_odd_rows(odd_docs, no_docs):
-    kept = shingles.one_of_each(odd_docs)
-    assert kept.columns == odd_docs.columns and sorted(r.doc_id or 0 for r in kept.collect()) == [0, 0, 1, 3, 6, 7, 8, 9]
-    assert shingles.one_of_each(no_docs).count() == 0
+    kept = simhash.one_of_each(odd_docs)
+    assert kept.columns == odd_docs.columns and sorted(r.doc_id or 0 for r in kept.collect()) == [0, 1, 3, 6, 7, 8, 9]
+    assert simhash.one_of_each(no_docs).count() == 0
