@@ -98,6 +98,30 @@ def write_whole(uri: str, name: str, fill) -> str:
     return f"{uri}/{name}"
 
 
+def sampled(rows: DataFrame, most: int, most_bytes: int, labels: DataFrame | None = None) -> list[tuple]:
+    """(doc_id, text, label) of distinct labelled rows, the first by hash of id and text: at most `most`, and as many as most_bytes hold.
+
+    rows: doc_id, text, and label, unless labels has that (doc_id, label).
+    """
+    rows = rows.withColumn("h", F.xxhash64("text"))
+    size = F.octet_length("text").alias("size")
+    ids = rows.select("doc_id", "h", size, "label") if labels is None else rows.select("doc_id", "h", size).join(labels, "doc_id")
+    ids = ids.where(F.col("size") <= most_bytes).distinct()
+    ids = ids.orderBy(F.xxhash64("doc_id", "h"), "doc_id", "h", "label", "size").limit(most).collect()
+    of: dict[tuple, list] = {}
+    held = 0
+    for r in ids:
+        held += r["size"]
+        if held <= most_bytes:
+            of.setdefault((r.doc_id, r.h), []).append(r.label)
+    if not of:
+        return []
+    chosen = rows.sparkSession.createDataFrame(list(of), "_d bigint, _h bigint")
+    kept = rows.join(F.broadcast(chosen), F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("h") == F.col("_h")), "left_semi")
+    texts = kept.groupBy("doc_id", "h").agg(F.min("text").alias("text")).collect()
+    return sorted(((r.doc_id, r.text, x) for r in texts for x in of[r.doc_id, r.h]), key=lambda r: (r[0] is None, r[0], r[1], r[2]))
+
+
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 

@@ -1,14 +1,15 @@
 """Language identification by a bidirectional gated recurrent network over bytes.
 
-A text's UTF-8 bytes are cut into blocks of BLOCK bytes, each a sequence of its own, so
+A text's UTF-8 bytes are cut into blocks of BLOCK bytes, each a sequence of its own (about ten words), so
 thousands of sequences step through the network at once. Both directions are GRUs of
 HIDDEN units whose input weights are a table by byte; every position gets class probabilities
 from both states. A document's probabilities are the mean over its positions that hold
 a letter's byte (a-z, A-Z, beyond ASCII). Training is numpy backpropagation through time on
 the cross-entropy of all such positions, by Adam, on the driver.
 
-Training reads at most SAMPLE documents (the first by hash of the id) of at most SAMPLE_CHARS characters, and
-SAMPLE_BLOCKS evenly spread blocks of each. Prediction reads every byte of every text.
+Training samples rows: at most SAMPLE of those with a language, the first by hash of id and text, as many as SAMPLE_BYTES
+hold (only a text that alone is larger is left out), and takes all blocks of their whole texts in random order, again and again
+for STEPS steps of LANES blocks. Prediction reads every byte of every text.
 
 Cases: null text, or a text without letters: `und`, score 0. Rows with null lang train nothing. Null doc_id: never held out.
 Repeated rows get a prediction each. No rows to learn from: all `und`. A tie goes to the label first by code point.
@@ -23,11 +24,15 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BLOCK = 32
-HIDDEN = 8
-SAMPLE = 2500
-SAMPLE_CHARS = 20_000
-SAMPLE_BLOCKS = 4
+from .common import prepare, sampled
+
+BLOCK = 64
+HIDDEN = 12
+SAMPLE = 4000
+SAMPLE_BYTES = 8 << 20
+STEPS = 300
+LANES = 256
+RATE = 0.02
 _LANES = 2048
 _LETTER = re.compile(r"[^\W\d_]")
 _COUNTS = np.zeros(256, bool)
@@ -116,6 +121,7 @@ def _step_back(table, u, bias, steps, states, grads, back):
     d_table, d_u, d_bias = back
     dh = np.zeros((n, lanes), np.float32)
     zero = np.zeros((n, lanes), np.float32)
+    by_input = []
     for t in range(len(steps) - 1, -1, -1):
         h = states[t - 1] if t else zero
         x, a = table.take(steps[t], axis=1), u @ h
@@ -127,72 +133,69 @@ def _step_back(table, u, bias, steps, states, grads, back):
         dnew = dh * (1 - z) * (1 - new * new)
         dz = dh * (h - new) * z * (1 - z)
         dr = dnew * a[2 * n :] * r * (1 - r)
-        dx = np.concatenate((dz, dr, dnew))
+        by_input.append(np.concatenate((dz, dr, dnew)))
         da = np.concatenate((dz, dr, dnew * r))
-        for i, row in enumerate(dx):
-            d_table[i] += np.bincount(steps[t], row, 256)
         d_u += da @ h.T
         d_bias += da[2 * n :].sum(1, keepdims=True)
         dh = dh * z + u.T @ da
-
-
-def fit(blocks: np.ndarray, labels: np.ndarray, classes: list[str], epochs: int = 8, lanes: int = 512, rate: float = 0.02) -> Model:
-    model = Model(classes)
-    n, r = HIDDEN, np.random.default_rng(7)
+    seen = np.concatenate(steps[::-1])
+    for i, row in enumerate(np.concatenate(by_input, axis=1)):
+        d_table[i] += np.bincount(seen, row, 256)
+
+
+def gradients(model: Model, blocks: np.ndarray, labels: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
+    """Mean cross-entropy of the letter positions of blocks, each of one label, and its gradient by every weight."""
+    n, steps = model.uf.shape[1], list(np.ascontiguousarray(blocks.T))
+    want = (np.arange(len(model.classes))[:, None] == labels[None, :]).astype(np.float32)
+    held = _COUNTS[blocks].T.astype(np.float32)
+    scale = 1 / max(1.0, float(held.sum()))
+    fore = _gru(model.tf, model.uf, model.bf, steps)
+    back = _gru(model.tb, model.ub, model.bb, steps[::-1])[::-1]
+    g = {k: np.zeros_like(getattr(model, k)) for k in model.names}
+    gf, gb, loss = [], [], 0.0
+    for f, b, ok in zip(fore, back, held, strict=True):
+        s = model.w[:, :n] @ f + model.w[:, n:] @ b + model.c
+        p = np.exp(s - s.max(0))
+        p /= p.sum(0)
+        loss -= float((np.log(np.maximum((p * want).sum(0), 1e-30)) * ok).sum()) * scale
+        d = (p - want) * ok * scale
+        g["w"][:, :n] += d @ f.T
+        g["w"][:, n:] += d @ b.T
+        g["c"] += d.sum(1, keepdims=True)
+        gf.append(model.w[:, :n].T @ d)
+        gb.append(model.w[:, n:].T @ d)
+    _step_back(model.tf, model.uf, model.bf, steps, fore, gf, (g["tf"], g["uf"], g["bf"]))
+    _step_back(model.tb, model.ub, model.bb, steps[::-1], back[::-1], gb[::-1], (g["tb"], g["ub"], g["bb"]))
+    return loss, g
+
+
+def fit(blocks: np.ndarray, labels: np.ndarray, classes: list[str], steps: int = STEPS, lanes: int = LANES, rate: float = RATE) -> Model:
+    """Adam for so many steps of so many blocks, all blocks once before any again."""
+    model, r = Model(classes), np.random.default_rng(7)
     m = {k: np.zeros_like(getattr(model, k)) for k in model.names}
     v = {k: np.zeros_like(getattr(model, k)) for k in model.names}
-    t, last = 0, epochs * -(-len(blocks) // lanes)
-    for _ in range(epochs):
-        order = r.permutation(len(blocks))
-        for at in range(0, len(order), lanes):
-            pick = order[at : at + lanes]
-            steps = list(np.ascontiguousarray(blocks[pick].T))
-            want = (np.arange(len(classes))[:, None] == labels[pick][None, :]).astype(np.float32)
-            held = _COUNTS[blocks[pick]].T.astype(np.float32)
-            scale = 1 / max(1.0, float(held.sum()))
-            fore = _gru(model.tf, model.uf, model.bf, steps)
-            back = _gru(model.tb, model.ub, model.bb, steps[::-1])[::-1]
-            g = {k: np.zeros_like(getattr(model, k)) for k in model.names}
-            gf, gb = [], []
-            for f, b, ok in zip(fore, back, held, strict=True):
-                s = model.w[:, :n] @ f + model.w[:, n:] @ b + model.c
-                p = np.exp(s - s.max(0))
-                d = (p / p.sum(0) - want) * ok * scale
-                g["w"][:, :n] += d @ f.T
-                g["w"][:, n:] += d @ b.T
-                g["c"] += d.sum(1, keepdims=True)
-                gf.append(model.w[:, :n].T @ d)
-                gb.append(model.w[:, n:].T @ d)
-            _step_back(model.tf, model.uf, model.bf, steps, fore, gf, (g["tf"], g["uf"], g["bf"]))
-            _step_back(model.tb, model.ub, model.bb, steps[::-1], back[::-1], gb[::-1], (g["tb"], g["ub"], g["bb"]))
-            t += 1
-            for k in model.names:
-                m[k] = 0.9 * m[k] + 0.1 * g[k]
-                v[k] = 0.999 * v[k] + 0.001 * g[k] ** 2
-                step = m[k] / (1 - 0.9**t) / (np.sqrt(v[k] / (1 - 0.999**t)) + 1e-8)
-                setattr(model, k, (getattr(model, k) - rate * (1 - 0.9 * t / last) * step).astype(np.float32))
+    order = np.concatenate([r.permutation(len(blocks)) for _ in range(-(-steps * lanes // len(blocks)))])
+    for t in range(1, steps + 1):
+        pick = order[(t - 1) * lanes : t * lanes]
+        _, g = gradients(model, blocks[pick], labels[pick])
+        for k in model.names:
+            m[k] = 0.9 * m[k] + 0.1 * g[k]
+            v[k] = 0.99 * v[k] + 0.01 * g[k] ** 2
+            step = m[k] / (1 - 0.9**t) / (np.sqrt(v[k] / (1 - 0.99**t)) + 1e-8)
+            setattr(model, k, (getattr(model, k) - rate * (1 - 0.95 * t / steps) * step).astype(np.float32))
     return model
 
 
 def train(docs: DataFrame, usable=None) -> Model:
     """fit() on a bounded sample of the documents with a language that `usable` (a column) admits."""
-    known = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
-    known = known.where(F.col("lang").isNotNull() & (F.length("text") <= SAMPLE_CHARS))
-    if usable is not None:
-        known = known.where(usable)
-    ids = known.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE)
-    rows = known.join(F.broadcast(ids), known["doc_id"].eqNullSafe(ids["doc_id"]), "left_semi").limit(4 * SAMPLE).collect()
-    rows.sort(key=lambda r: (r.doc_id is None, r.doc_id, r.lang, r.text))
-    classes = sorted({r.lang for r in rows})
-    blocks, labels = [], []
-    for r in rows:
-        b, _ = cut_blocks([r.text.encode("utf-8", "replace")])
-        pick = np.unique(np.linspace(0, len(b) - 1, SAMPLE_BLOCKS).astype(int)) if len(b) else []
-        blocks += [b[i] for i in pick]
-        labels += [classes.index(r.lang)] * len(pick)
-    if not blocks:
+    known = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("label"))
+    known = known.where("label is not null and text is not null")
+    rows = sampled(known if usable is None else known.where(usable), SAMPLE, SAMPLE_BYTES)
+    classes = sorted({r[2] for r in rows})
+    blocks, n = cut_blocks([r[1].encode("utf-8", "replace") for r in rows])
+    if not len(blocks):
         return Model(classes or ["und"])
-    return fit(np.stack(blocks), np.array(labels), classes)
+    return fit(blocks, np.repeat([classes.index(r[2]) for r in rows], n), classes)
 
 
 def predict(docs: DataFrame, model: Model) -> DataFrame:
@@ -222,4 +225,5 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
                     pred[i], score[i] = model.classes[int(row.argmax())], float(min(1.0, row.max()))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(pred, pa.string()), pa.array(score, pa.float64())], ["doc_id", "lang_pred", "score"])
 
+    prepare(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).mapInArrow(run, "doc_id bigint, lang_pred string, score double")

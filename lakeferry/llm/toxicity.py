@@ -14,7 +14,7 @@ numpy alone: word hashes are differences of one running polynomial sum. A text o
 _SLICE bytes is taken in pieces cut between words; its sentence logits carry over.
 
 Cases: null text = empty: score 0. Rows without label (or a null one) train nothing. Null doc_id: never held out, no label.
-Repeated rows are scored each, and labels that repeat train as often. No label
+Repeated rows are scored each, and train once; a text of both labels trains as both. No label
 at all, or an empty table: weights stay 0. Other columns are kept by `accepted` and left out by `score`.
 """
 
@@ -24,7 +24,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import held_out
+from .common import held_out, prepare, sampled
 
 BITS = 18
 SAMPLE = 4000
@@ -181,22 +181,18 @@ def fit(texts: list[bytes], labels: list[int], epochs: int = 80, rate: float = 0
 
 def train(docs: DataFrame, labels: DataFrame, usable=None) -> tuple[np.ndarray, float]:
     """fit() on a bounded sample of the labelled documents that `usable` (a column) admits."""
-    known = labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), (F.col("toxic") > 0).cast("int").alias("toxic")).where("toxic is not null")
+    known = labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), (F.col("toxic") > 0).cast("int").alias("label")).where("label is not null")
     if usable is not None:
         known = known.where(usable)
-    text = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")).where("text is not null").withColumn("h", F.xxhash64("text"))
-    ids = text.select("doc_id", "h", F.octet_length("text").alias("size")).join(known, "doc_id").where(F.col("size") <= SAMPLE_BYTES).distinct()
-    ids = ids.orderBy(F.xxhash64("doc_id", "h"), "doc_id", "h", "toxic", "size").limit(SAMPLE).collect()
-    room = np.cumsum([r["size"] for r in ids]) <= SAMPLE_BYTES
-    ids = docs.sparkSession.createDataFrame([(r.doc_id, r.h, r.toxic) for r, ok in zip(ids, room, strict=True) if ok], "doc_id bigint, h bigint, toxic int")
-    rows = text.join(F.broadcast(ids), ["doc_id", "h"]).collect()
-    rows.sort(key=lambda r: (r.doc_id, r.text, r.toxic))
-    return fit([r.text.encode("utf-8", "replace") for r in rows], [r.toxic for r in rows])
+    text = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")).where("text is not null")
+    rows = sampled(text, SAMPLE, SAMPLE_BYTES, known)
+    return fit([r[1].encode("utf-8", "replace") for r in rows], [r[2] for r in rows])
 
 
 def score(docs: DataFrame, model: tuple[np.ndarray, float], threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, h (the text's hash), score, spans of offending sentences (array of first and last byte, score)."""
     weights, bias = model
+    prepare(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(weights.astype(np.float32))
     floor = float(np.log(threshold / (1 - threshold)))
 
@@ -238,4 +234,5 @@ def accepted(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -
             keep = [noisy_or(sentence_logits(words, w, t)[0] + bias) < threshold for t in texts]
             yield batch.filter(pa.array(keep, pa.bool_()))
 
+    prepare(docs.sparkSession)
     return docs.mapInArrow(run, docs.schema)

@@ -3,6 +3,11 @@ import pytest
 LONG = "lorem ipsum dolor sit amet " * 40_000  # about a million characters
 
 
+@pytest.fixture(scope="session")
+def sf_mid():
+    return "/root/testdata/sf0.01"
+
+
 @pytest.fixture(scope="session")
 def odd_docs(spark):
     """Nulls in any column, an empty and a very long text, ties and repeated rows, extra columns with clashing names."""

@@ -122,7 +122,7 @@ def test_language_is_learned():
     kinds = {"x": ["ka", "to", "mi"], "y": ["ße", "rö", "lü"], "z": ["ing", "the", "ow"]}
     data = [(k, make(s).encode()) for _ in range(60) for k, s in kinds.items()]
     blocks = [(b, k) for k, t in data for b in langid.cut_blocks([t])[0]]
-    m = langid.fit(np.stack([b for b, _ in blocks]), np.array([sorted(kinds).index(k) for _, k in blocks]), sorted(kinds), epochs=10)
+    m = langid.fit(np.stack([b for b, _ in blocks]), np.array([sorted(kinds).index(k) for _, k in blocks]), sorted(kinds), steps=200, lanes=32)
     held = [(k, make(s).encode()) for _ in range(20) for k, s in kinds.items()]
     right = [m.classes[int(m.blocks(langid.cut_blocks([t])[0])[0].sum(0).argmax())] == k for k, t in held]
     assert np.mean(right) > 0.97

@@ -8,7 +8,8 @@ from collections import defaultdict
 import numpy as np
 import pytest
 
-from lakeferry.llm import mixing, queries
+from lakeferry.llm import langid, mixing, queries, toxicity
+from lakeferry.llm.common import held_out
 from lakeferry.llm.queries import ORACLES, QUERIES
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -28,21 +29,95 @@ def test_one_query_for_each_operator():
     assert sorted(int(re.match(r"op(\d+)_", k)[1]) for k in QUERIES) == list(range(1, 11))
 
 
-def test_op3(spark, sf, docs):
-    got = {r.doc_id: r for r in queries.op3_language(spark, sf).collect()}
-    assert len(got) == len(docs)
-    for d in docs:
+def slow_gru(model, names, data):
+    """States after each byte, by the equations."""
+    table, u, bias = (getattr(model, n).astype(np.float64) for n in names)
+    n, h, out = u.shape[1], np.zeros(u.shape[1]), []
+    squash = lambda x: 1 / (1 + np.exp(-x))
+    for b in data:
+        x, a = table[:, b], u @ h
+        z, r = squash(x[:n] + a[:n]), squash(x[n : 2 * n] + a[n : 2 * n])
+        new = np.tanh(x[2 * n :] + r * (a[2 * n :] + bias[:, 0]))
+        h = z * h + (1 - z) * new
+        out.append(h)
+    return out
+
+
+def slow_language(model, text):
+    """Mean class probabilities of the letter positions, one position after the other."""
+    data, sums, n = text.encode(), np.zeros(len(model.classes)), 0
+    for at in range(0, len(data), langid.BLOCK):
+        block = data[at : at + langid.BLOCK].ljust(langid.BLOCK, b"\0")
+        fore, back = slow_gru(model, ("tf", "uf", "bf"), block), slow_gru(model, ("tb", "ub", "bb"), block[::-1])[::-1]
+        for b, f, g in zip(block, fore, back, strict=True):
+            if b > 127 or chr(b).isalpha():
+                s = model.w @ np.concatenate((f, g)) + model.c[:, 0]
+                p = np.exp(s - s.max())
+                sums, n = sums + p / p.sum(), n + 1
+    return sums / n
+
+
+def test_op3(spark, sf_mid):
+    """Held-out accuracy, and the probabilities of the same weights by a plain network."""
+    docs = spark.read.parquet(f"{sf_mid}/documents.parquet")
+    got = {r.doc_id: r for r in queries.op3_language(spark, sf_mid).collect()}
+    held = right = 0
+    rows = docs.collect()
+    assert len(got) == len(rows)
+    for d in rows:
         r = got[d.doc_id]
         assert r.held_out == (zlib.crc32(str(d.doc_id).encode()) % 3 == 1) and 0 <= r.score <= 1
         assert (r.lang_pred == "und") == (not any(c.isalpha() for c in d.text or ""))
-
-
-def test_op4(spark, sf, docs):
-    got = {r.doc_id: r for r in queries.op4_toxicity(spark, sf).collect()}
-    assert len(got) == len(docs)
-    for d in docs:
+        if r.held_out and d.lang and r.lang_pred != "und":
+            held, right = held + 1, right + (d.lang == r.lang_pred)
+    assert held > 200 and right / held > 0.97
+    model = langid.train(docs, ~held_out("doc_id", 3, 1))
+    for d in sorted(rows, key=lambda d: len(d.text or ""))[50:400:50]:
+        if got[d.doc_id].lang_pred != "und":
+            p = slow_language(model, d.text)
+            assert model.classes[int(p.argmax())] == got[d.doc_id].lang_pred and abs(p.max() - got[d.doc_id].score) < 1e-3
+
+
+def slow_toxicity(model, text):
+    """Noisy-or of the sentences that hold a word of weight, word by word."""
+    weights, bias = model
+    words, none = toxicity.Words(), 1.0
+    low = re.sub("[A-Z]", lambda m: m[0].lower(), text or "").encode()
+    for sentence in re.split(rb"[.!?\n\r]", low):
+        logit, some = bias, False
+        for w in re.findall(rb"[0-9a-z'\x80-\xff]+", sentence):
+            for x in words.of(w)[0][:, 0]:
+                logit, some = logit + weights[x], some or weights[x] != 0
+        none *= 1 - 1 / (1 + np.exp(-logit)) if some else 1.0
+    return 1 - none
+
+
+def test_op4(spark, sf_mid):
+    """Held-out ranking and recall, and the scores of the same weights by a plain scorer."""
+    docs, labels = (spark.read.parquet(f"{sf_mid}/{t}.parquet") for t in ("documents", "labels"))
+    got = {r.doc_id: r for r in queries.op4_toxicity(spark, sf_mid).collect()}
+    rows = docs.collect()
+    assert len(got) == len(rows)
+    for d in rows:
         r = got[d.doc_id]
         assert r.held_out == (zlib.crc32(str(d.doc_id).encode()) % 4 == 2) and 0 <= r.score <= 1 and r.predicted == (r.score >= 0.3)
+    w, b = toxicity.train(docs, labels, toxicity.usable_for_training())
+    for d in sorted(rows, key=lambda d: len(d.text or ""))[::25]:
+        assert abs(slow_toxicity((w.astype(np.float32), b), d.text) - got[d.doc_id].score) < 1e-5
+    held = [(got[r.doc_id].score, r.toxic) for r in labels.where("toxic is not null").collect() if r.doc_id in got and got[r.doc_id].held_out]
+    bad, good = ([s for s, t in held if bool(t) == x] for x in (True, False))
+    auc = np.mean([(a > g) + 0.5 * (a == g) for a in bad for g in good])
+    assert len(bad) > 5 and auc > 0.75 and np.mean(np.array(good) >= 0.3) < 0.02 and np.mean(np.array(bad) >= 0.3) > 0.5
+
+
+def test_op4_learns(spark):
+    """With enough labelled rows, toxic documents are told from clean ones."""
+    sf = "/root/testdata/sf0.1"
+    got = {r.doc_id: r for r in queries.op4_toxicity(spark, sf).collect()}
+    held = [(got[r.doc_id].score, r.toxic) for r in spark.read.parquet(f"{sf}/labels.parquet").collect() if r.toxic is not None and got[r.doc_id].held_out]
+    bad, good = ([s for s, t in held if bool(t) == x] for x in (True, False))
+    assert np.mean([(a > g) + 0.5 * (a == g) for a in bad for g in good]) > 0.95
+    assert np.mean(np.array(bad) >= 0.3) > 0.85 and np.mean(np.array(good) >= 0.3) < 0.01
 
 
 def _ids(docs):
