@@ -53,10 +53,6 @@ def _fits(df: DataFrame, size: Column) -> bool:
     return n <= BROADCAST_ROWS and b + 64 * n <= BROADCAST_BYTES
 
 
-def _small(df: DataFrame, fits: bool) -> DataFrame:
-    return F.broadcast(df) if fits else df
-
-
 def anchors(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH) -> tuple[DataFrame, bool]:
     """(word, before, after, item, wins) of each anchor of each item, and whether that may be broadcast.
 
@@ -66,22 +62,27 @@ def anchors(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH) -> tuple[
     items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"), words.alias("ws")).where(F.size("ws") > 0).distinct()
     items = cut(items.withColumn("item_row", F.xxhash64("item", "ws")))
     vocabulary = items.select(F.explode("ws").alias("w")).select(F.lower("w").alias("word")).distinct()
-    vocabulary = _small(vocabulary, _fits(vocabulary, F.octet_length("word")))
+    known = _fits(vocabulary, F.octet_length("word"))
     # outer: a plain explode makes Spark split every text a second time, in a filter of its own
     held = docs.select(F.explode_outer(_split(F.col("text").cast("string"))).alias("w")).select(F.lower("w").alias("word"))
-    counts = cut(held.join(vocabulary, "word").groupBy("word").agg(F.count("*").alias("n")))
-    place = items.select("item_row", F.posexplode("ws").alias("at", "w")).withColumn("word", F.lower("w"))
+    if known:
+        counts = held.join(F.broadcast(vocabulary), "word").groupBy("word").agg(F.count("*").alias("n"))
+    else:  # words are counted where they are before any is moved
+        counts = held.groupBy("word").agg(F.count("*").alias("n")).join(vocabulary, "word")
+    place = items.select("item_row", "item", F.size("ws").alias("size"), F.posexplode("ws").alias("at", "w")).withColumn("word", F.lower("w"))
     # a word that no document has rules all its windows out, and is the rarest of all
-    place = place.join(counts, "word", "left").withColumn("n", F.coalesce("n", F.lit(0)))
-    ranked = place.groupBy("item_row").agg(F.sort_array(F.collect_list(F.struct("at", "n", "word"))).alias("rank"))
-    items = items.join(ranked, "item_row")
-    n = F.least(F.size("ws"), F.lit(width))
-    starts = items.withColumn("n", n).withColumn("start", F.explode(F.sequence(F.lit(0), F.size("ws") - n)))
-    rare = F.array_min(F.transform(F.slice("rank", F.col("start") + 1, F.col("n")), lambda r: F.struct(r["n"].alias("n"), r["word"].alias("word"), r["at"].alias("at"))))
-    windows = starts.withColumn("rare", rare).where("rare.n > 0")
-    win = F.struct((F.col("rare.at") - F.col("start")).alias("off"), F.col("n"), F.array_join(F.slice("ws", F.col("start") + 1, F.col("n")), " ").alias("txt"))
-    side = lambda d: F.coalesce(F.get(F.col("rank"), F.col("rare.at") + d)["word"], F.lit(""))
-    found = windows.groupBy("item_row", "item", F.col("rare.word").alias("word"), side(-1).alias("before"), side(1).alias("after"), F.col("rare.at").alias("at")).agg(F.collect_set(win).alias("wins"))
+    place = place.join(cut(counts), "word", "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    along = Window.partitionBy("item_row").orderBy("at")
+    side = lambda f: F.coalesce(f("word").over(along), F.lit(""))
+    place = place.withColumn("before", side(F.lag)).withColumn("after", side(F.lead))
+    # each row begins a window: `width` words on, or all of a shorter item
+    window = along.rowsBetween(0, width - 1)
+    place = place.withColumn("rare", F.min(F.struct("n", "word", "at", "before", "after")).over(window)).withColumn("txt", F.array_join(F.collect_list("w").over(window), " "))
+    n = F.least(F.col("size"), F.lit(width))
+    windows = place.where((F.col("at") <= F.col("size") - n) & (F.col("rare.n") > 0))
+    win = F.struct((F.col("rare.at") - F.col("at")).alias("off"), n.alias("n"), "txt")
+    key = [F.col(f"rare.{c}").alias(c) for c in ("word", "before", "after", "at")]
+    found = windows.select("item_row", "item", *key, win.alias("win")).groupBy("item_row", "item", "word", "before", "after", "at").agg(F.collect_set("win").alias("wins"))
     found = found.withColumn("alone", F.exists("wins", lambda x: x["n"] == 1))
     found = cut(found.drop("item_row", "at"))
     return found, _fits(found, F.octet_length(F.col("wins").cast("string")))
@@ -94,15 +95,25 @@ def occurrences(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH) -> Da
     ws = docs.select(F.col("doc_id"), F.xxhash64(text).alias("h"), _split(text).alias("ws"))
     at = ws.select("doc_id", "h", "ws", F.posexplode_outer("ws").alias("d", "w"))
     next_to = lambda k: F.lower(F.get(F.col("ws"), F.col("d") + k))
-    # the words that a window around d can hold, and the place of the first of them
-    first = F.greatest(F.col("d") - (width - 1), F.lit(0))
-    around = [F.slice("ws", first + 1, 2 * width - 1).alias("near"), first.alias("first")]
     # nothing but what codegen covers may stand between here and the join: rows that carry `ws` must not be copied
     cols = ["doc_id", "h", "d", F.lower("w").alias("word"), next_to(-1).alias("left"), next_to(1).alias("right")]
-    at = at.select(*cols, "ws") if fits else at.select(*cols, *around)
     beside = F.col("alone") | (F.col("before") == F.col("left")) | (F.col("after") == F.col("right"))
-    near = at.join(_small(found, fits).withColumnRenamed("word", "anchor"), (F.col("word") == F.col("anchor")) & beside)
-    near = near.select("doc_id", "h", "d", "item", "wins", *(around if fits else ["near", "first"]))
+    meets = (F.col("word") == F.col("anchor")) & beside
+    if fits:
+        near = at.select(*cols, "ws").join(F.broadcast(found).withColumnRenamed("word", "anchor"), meets)
+    else:  # places are moved without texts, and texts only to the places where an anchor is
+        words = found.select(F.col("word").alias("anchor")).distinct()
+        places = at.select(*cols)
+        if _fits(words, F.octet_length("anchor")):
+            places = places.join(F.broadcast(words), F.col("word") == F.col("anchor"), "left_semi")
+        near = places.join(found.withColumnRenamed("word", "anchor"), meets).select("doc_id", "h", "d", "item", "wins")
+        near, same = cut(near), F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("h") == F.col("_h"))
+        wanted = small(near.select(F.col("doc_id").alias("_d"), F.col("h").alias("_h")).distinct())
+        texts = ws.join(wanted, same, "left_semi").dropDuplicates(["doc_id", "h"]).select(F.col("doc_id").alias("_d"), F.col("h").alias("_h"), "ws")
+        near = near.join(texts, same)
+    # the words that a window around d can hold, and the place of the first of them
+    first = F.greatest(F.col("d") - (width - 1), F.lit(0))
+    near = near.select("doc_id", "h", "d", "item", "wins", F.slice("ws", first + 1, 2 * width - 1).alias("near"), first.alias("first"))
     each = near.select("doc_id", "h", "d", "item", "near", "first", F.explode("wins").alias("win"))
     each = each.withColumn("start", F.col("d") - F.col("win.off")).withColumn("from", F.col("start") - F.col("first"))
     inside = (F.col("from") >= 0) & (F.col("from") + F.col("win.n") <= F.size("near"))

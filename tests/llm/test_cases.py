@@ -87,6 +87,21 @@ def test_decontamination_against_search(spark, monkeypatch):
         assert sorted((x.doc_id, x.n_words, x.n_hit, x.items) for x in out.collect()) == want
 
 
+@pytest.mark.parametrize("rows", [10**6, 0])
+def test_decontamination_of_a_long_item(spark, monkeypatch, rows):
+    """An item of 100,000 words takes seconds, as its windows are made in one pass."""
+    import time
+
+    monkeypatch.setattr(decontam, "BROADCAST_ROWS", rows)
+    r = random.Random(8)
+    item = [f"w{r.randrange(30_000)}" for _ in range(100_000)]
+    docs = [(1, " ".join(item)), (2, " ".join(item[500:600])), (3, " ".join(item[::-1][:300])), (4, " ".join(["z", *item[-10:]]))]
+    t = time.time()
+    out = decontam.scan(spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame([(5, " ".join(item))], "item_id bigint, text string"))
+    assert sorted((x.doc_id, x.n_hit, x.items) for x in out.collect()) == [(1, 100_000, ["5"]), (2, 100, ["5"]), (3, 0, []), (4, 10, ["5"])]
+    assert time.time() - t < 60
+
+
 # -- 3
 
 def test_language_odd_rows(spark, odd_docs, no_docs):
