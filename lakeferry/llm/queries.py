@@ -81,6 +81,27 @@ def op10_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (op1_top_k, op2_decontaminate, op3_language, op4_toxicity, op5_token_counts, op6_mixing, op7_warc, op8_chat, op9_simhash, op10_token_ids)}
 
 ORACLES = {
+    "op8_chat": r"""
+WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+           UNION ALL SELECT -7, i, CASE i WHEN 0 THEN 'user' ELSE 'assistant' END, '</s>[INST] ok [/INST]' FROM range(2) x(i)),
+e AS (SELECT *, coalesce(turn >> 7, -9223372036854775808) AS part, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS nth,
+        9 + length(role) - length(replace(role, '\', '')) + length(role) - length(replace(role, chr(10), '')) + len(regexp_extract_all(role || ' ' || text, '</?s>|\[/?INST\]|<</?SYS>>')) + length(text) - length(replace(text, '\', '')) AS more FROM t),
+p AS (SELECT *, nth = 1 AND role = 'system' AS sys, length(role) + length(text) + more AS chars, strlen(role) + strlen(text) + more AS n FROM e),
+o AS (SELECT *, max(CASE WHEN sys THEN n ELSE 0 END) OVER (PARTITION BY conv_id) AS s, max(CASE WHEN sys THEN chars ELSE 0 END) OVER (PARTITION BY conv_id) AS s_chars,
+        CASE WHEN sys THEN 0 ELSE n END AS own, sum(CASE WHEN sys THEN 0 ELSE n END) OVER (PARTITION BY conv_id, part ORDER BY nth) AS after FROM p),
+r AS (SELECT *, after - own AS before, greatest(1, 3072 - s) AS stride FROM o),
+v AS (SELECT *, 2 * (before // stride) + CASE WHEN after > (before // stride + 1) * stride THEN 1 ELSE 0 END AS w FROM r),
+g AS (SELECT conv_id, part, w, before, chars FROM v WHERE NOT sys
+      UNION ALL SELECT conv_id, part + 1, -1, -sum(n) OVER (PARTITION BY conv_id, part ORDER BY nth DESC), chars FROM v WHERE NOT sys AND (turn & 127) >= 120),
+f AS (SELECT conv_id, part, w, sum(chars) AS chars, max(s) AS s, max(s_chars) AS s_chars, bool_or(sys) AS has, sum(own) AS own, min(CASE WHEN sys THEN 0 ELSE before END) AS opens,
+        coalesce(lag(w) OVER (PARTITION BY conv_id, part ORDER BY w), -1) AS past FROM v GROUP BY conv_id, part, w),
+b AS (SELECT f.conv_id, f.part, f.w, sum(g.chars) AS chars FROM f JOIN g ON f.conv_id IS NOT DISTINCT FROM g.conv_id AND f.part = g.part AND f.past = g.w
+      WHERE g.before >= f.opens - greatest(0, least(1024, 4096 - f.s - f.own)) GROUP BY ALL),
+c AS (SELECT f.conv_id, CAST(sum(f.chars + coalesce(b.chars, 0) + CASE WHEN has THEN 0 ELSE s_chars END) AS BIGINT) AS formatted_chars
+      FROM f LEFT JOIN b ON f.conv_id IS NOT DISTINCT FROM b.conv_id AND f.part = b.part AND f.w = b.w GROUP BY f.conv_id),
+d AS (SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY nth)) AS turns_sha256,
+        coalesce(string_agg(text, '' ORDER BY nth) FILTER (role = 'assistant'), '') AS loss FROM e GROUP BY conv_id)
+SELECT d.conv_id, n_turns, turns_sha256, CAST(length(loss) AS BIGINT) AS loss_chars, sha256(loss) AS loss_sha256, formatted_chars FROM d JOIN c ON d.conv_id IS NOT DISTINCT FROM c.conv_id""",
     "op2_decontaminate": r"""
 WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
 b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark),
