@@ -2,9 +2,9 @@
 
 Format: a folder of two Parquet tables, written by Spark's own committers.
 `code`: one row, the code length of every id (bytes; the codes are canonical, so lengths are all). `blocks`: independent blocks, each of
-whole documents in ascending order: start (ids before the block, of all), n_tokens, doc_ids, doc_tokens
-(counts, end id included), checks (bit offset of every CHECK-th id), payload. A block
-holds at least one document and else at most BLOCK ids.
+documents in ascending order: start (ids before the block, of all), n_tokens, doc_ids, doc_tokens
+(counts, end id included), checks (bit offset of every CHECK-th id), payload. A block holds at most BLOCK ids: a longer document
+is dealt out over blocks of its own, which say how many ids it has (`whole`, else null) and how many are in blocks before (`skip`).
 
 Documents are range-partitioned by (doc_id, hash of the text), nulls first, and sorted within partitions;
 ids are made once and kept in a working table, with each task's counts of ids, which a groupBy adds up
@@ -98,13 +98,13 @@ def write(docs: DataFrame, folder: str, path: str, end: int = END, cache: int |
     def blocks(batches):
         import pyarrow as pa
 
-        names = ["start", "n_tokens", "doc_ids", "doc_tokens", "checks", "payload"]
+        names = ["start", "n_tokens", "doc_ids", "doc_tokens", "whole", "skip", "checks", "payload"]
 
-        def block(rows):
+        def block(rows, whole=None, skip=0):
             ids = np.frombuffer(b"".join(r[3] for r in rows), kind)
             payload, checks = huffman.encode(ids, length, code)
-            row = [rows[0][0], len(ids), [r[1] for r in rows], [r[2] for r in rows], checks.astype("<u8").tobytes(), payload]
-            kinds = [pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary(), pa.binary()]
+            row = [rows[0][0], len(ids), [r[1] for r in rows], [r[2] for r in rows], whole, skip, checks.astype("<u8").tobytes(), payload]
+            kinds = [pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.int64(), pa.int64(), pa.binary(), pa.binary()]
             return pa.RecordBatch.from_arrays([pa.array([x], k) for x, k in zip(row, kinds, strict=True)], names)
 
         rows, n, to = [], 0, None
@@ -114,25 +114,51 @@ def write(docs: DataFrame, folder: str, path: str, end: int = END, cache: int |
                 if rows and (n + k > BLOCK or at != to):
                     yield block(rows)
                     rows, n = [], 0
+                if k > BLOCK:
+                    for i in range(0, k, BLOCK):
+                        piece = ids[i * kind.itemsize : (i + BLOCK) * kind.itemsize]
+                        yield block([(at + i, doc, len(piece) // kind.itemsize, piece)], k, i)
+                    continue
                 rows.append((at, doc, k, ids))
                 n, to = n + k, at + k
         if rows:
             yield block(rows)
 
-    schema = "start bigint, n_tokens bigint, doc_ids array<bigint>, doc_tokens array<bigint>, checks binary, payload binary"
+    schema = "start bigint, n_tokens bigint, doc_ids array<bigint>, doc_tokens array<bigint>, whole bigint, skip bigint, checks binary, payload binary"
     kept.select("part", "at", "doc_id", "n", "ids").mapInArrow(blocks, schema).write.mode("overwrite").option("compression", "uncompressed").parquet(f"{folder}/blocks")
     remove(spark, work)
 
 
+def _times(a: int, b: int) -> int:
+    """Product of two polynomials over GF(2), bits from the highest power's end, modulo that of crc32."""
+    out = 0
+    for bit in range(31, -1, -1):
+        if a >> bit & 1:
+            out ^= b
+        b = b >> 1 ^ (0xEDB88320 if b & 1 else 0)
+    return out
+
+
+def crc_of_both(first: int, second: int, n: int) -> int:
+    """crc32 of two byte strings in turn, from the crc32 of each and the length of the second."""
+    power, base, bits = 1 << 31, 1 << 30, 8 * n
+    while bits:
+        if bits & 1:
+            power = _times(power, base)
+        base, bits = _times(base, base), bits >> 1
+    return _times(power, first) ^ second
+
+
 def read(spark: SparkSession, folder: str, ids: bool = False) -> DataFrame:
     """doc_id, start, n_tokens, ids_crc32 of every document in the files; with ids, the ids as well (array)."""
     length = np.frombuffer(bytes(spark.read.parquet(f"{folder}/code").first()[0]), np.uint8)
+    names = ["doc_id", "start", "n_tokens", "ids_crc32", "ids"][: 4 + ids]
+    schema = "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint" + ", ids array<bigint>" * ids
 
     def run(batches):
         import pyarrow as pa
 
         lookup = huffman.table(length, huffman.codes(length))
-        names = ["doc_id", "start", "n_tokens", "ids_crc32", "ids"][: 4 + ids]
         for batch in batches:
             for r in batch.to_pylist():
                 got = huffman.decode(r["payload"], r["n_tokens"], np.frombuffer(r["checks"], "<u8"), lookup).astype("<u4")
@@ -142,7 +168,27 @@ def read(spark: SparkSession, folder: str, ids: bool = False) -> DataFrame:
                 arrays = [pa.array(r["doc_ids"], pa.int64()), pa.array(r["start"] + to - n), pa.array(n), pa.array([zlib.crc32(d.tobytes()) for d in docs], pa.int64())]
                 if ids:
                     arrays.append(pa.array([d.tolist() for d in docs], pa.list_(pa.int64())))
-                yield pa.RecordBatch.from_arrays(arrays, names)
+                if r["whole"] is not None:
+                    arrays.append(pa.array([r["start"] - r["skip"]], pa.int64()))
+                yield pa.RecordBatch.from_arrays(arrays, [*names, "first"][: len(arrays)])
 
-    schema = "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint" + ", ids array<bigint>" * ids
-    return spark.read.parquet(f"{folder}/blocks").mapInArrow(run, schema)
+    def join(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            rows = []
+            for doc, first, pieces in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                crc = pieces[0]["ids_crc32"]
+                for p in pieces[1:]:
+                    crc = crc_of_both(crc, p["ids_crc32"], 4 * p["n_tokens"])
+                rows.append((doc, first, sum(p["n_tokens"] for p in pieces), crc, *[[x for p in pieces for x in p["ids"]]][: int(ids)]))
+            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64())]
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], kinds[i]) for i in range(len(names))], names)
+
+    blocks = spark.read.parquet(f"{folder}/blocks")
+    out = blocks.where("whole is null").mapInArrow(run, schema)
+    if blocks.where("whole is not null").isEmpty():
+        return out
+    pieces = blocks.where("whole is not null").mapInArrow(run, f"{schema}, first bigint")
+    grouped = pieces.groupBy("doc_id", "first").agg(F.sort_array(F.collect_list(F.struct(*names[1:]))).alias("pieces"))
+    return out.union(grouped.mapInArrow(join, schema))

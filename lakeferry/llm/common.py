@@ -32,10 +32,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_root(spark: SparkSession) -> str:
-    """URI of the folder all machines share: spark.checkpoint.dir, or a fresh local one if unset."""
+    """URI of the folder all machines share: spark.checkpoint.dir, or a fresh local one if that is unset and there is one machine."""
     said = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if said:
         return said.rstrip("/")
+    if not spark.sparkContext.master.split("[")[0] == "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
     app = spark.sparkContext.applicationId
     if app not in _own:
         _own[app] = "file://" + tempfile.mkdtemp(prefix="lakeferry-")

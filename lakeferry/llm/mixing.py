@@ -38,9 +38,10 @@ def size(text: Column) -> Column:
 
 
 def _key(docs: DataFrame) -> Column:
-    """A hash of KEY_BITS bits of the row's id, source and text."""
+    """A hash of KEY_BITS bits of the row's id, source and text; a null source isn't an empty one."""
     some = lambda c: F.coalesce(docs[c].cast("string"), F.lit(""))
-    whole = F.concat_ws("/", some("doc_id"), some("source"), F.md5(some("text").cast("binary")))
+    source = F.coalesce(F.concat(F.lit("="), docs["source"].cast("string")), F.lit(""))
+    whole = F.concat_ws("/", some("doc_id"), source, F.md5(some("text").cast("binary")))
     return F.conv(F.substring(F.md5(whole.cast("binary")), 1, KEY_BITS // 4), 16, 10).cast("bigint")
 
 
@@ -70,9 +71,11 @@ def plan(docs: DataFrame, weights=WEIGHTS, total: float = TOTAL, most: float = M
     ahead = Window.partitionBy("source").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     sums = sums.select("source", "range", F.coalesce(F.sum("words").over(ahead), F.lit(0)).alias("range_before"))
     within = Window.partitionBy("source", "range").orderBy("key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
-    rows = base.withColumn("before", F.coalesce(F.sum("size").over(within), F.lit(0)))
     same = lambda a, b: a["source"].eqNullSafe(b["source"])
-    rows = rows.join(sums, same(rows, sums) & (rows["range"] == sums["range"])).select("doc_id", rows["source"], "key", "size", (F.col("before") + F.col("range_before")).alias("before"))
+    rows = base.where("size > 0").withColumn("before", F.coalesce(F.sum("size").over(within), F.lit(0)))
+    rows = rows.join(small(sums), same(rows, sums) & (rows["range"] == sums["range"])).select("doc_id", rows["source"], "key", "size", (F.col("before") + F.col("range_before")).alias("before"))
+    # rows without words take nothing, and need no place among the others, however often they repeat
+    rows = rows.union(base.where("size = 0").select("doc_id", "source", "key", "size", F.lit(0).cast("bigint")))
     rows = rows.join(sources, same(rows, sources)).select("doc_id", rows["source"], "key", "size", "before", "source_size", "target")
     budget, whole = F.floor("target").cast("bigint"), F.greatest("source_size", F.lit(1))
     epochs = F.floor(budget / whole).cast("bigint")
@@ -86,12 +89,12 @@ def mixed(docs: DataFrame, weights=WEIGHTS, total: float = TOTAL, most: float =
     Rows of size 0 have no words to take, and stay out.
     """
     takes = small(plan(docs, weights, total, most).where("taken > 0").select(F.col("key").alias("_k"), F.col("size").alias("_n"), F.col("taken").alias("_t")))
-    # rows that repeat wholly share a key: number them, that each gets a take of its own
+    # rows that repeat id, source and text share a key: number them, by all their columns, that each gets a take of its own
     left = docs.withColumn("_key", _key(docs))
     if takes.groupBy("_k").count().where("count > 1").isEmpty():
         rows = left.join(takes, F.col("_key") == F.col("_k"))
     else:
-        left = left.withColumn("_nth", F.row_number().over(Window.partitionBy("_key").orderBy("_key")))
+        left = left.withColumn("_nth", F.row_number().over(Window.partitionBy("_key").orderBy(F.xxhash64(*docs.columns))))
         right = takes.withColumn("_m", F.row_number().over(Window.partitionBy("_k").orderBy(F.desc("_t"))))
         rows = left.join(right, (F.col("_key") == F.col("_k")) & (F.col("_nth") == F.col("_m")))
     copies = F.sequence(F.lit(1), F.ceil(F.col("_t") / F.col("_n")).cast("int"))

@@ -121,7 +121,7 @@ r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, ve
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 5""",
     "op6_mixing": r"""
 WITH d AS (SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size,
-             CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '') || '/' || coalesce(source, '') || '/' || md5(coalesce(text, ''))), 1, 15) AS BIGINT) AS key FROM documents),
+             CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '') || '/' || coalesce('=' || source, '') || '/' || md5(coalesce(text, ''))), 1, 15) AS BIGINT) AS key FROM documents),
 s AS (SELECT source, sum(size)::BIGINT AS n, CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 WHEN 0 THEN 5.0 WHEN 1 THEN 2.0 ELSE 1.0 END::DOUBLE AS w FROM d GROUP BY source),
 l AS (SELECT *, 2.0::DOUBLE * n AS cap, (sum(n) OVER () * 1.5::DOUBLE - coalesce(sum(2.0::DOUBLE * n) OVER (ORDER BY 2.0::DOUBLE * n / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
         / sum(w) OVER (ORDER BY 2.0::DOUBLE * n / w, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM s),

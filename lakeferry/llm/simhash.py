@@ -39,7 +39,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import shingles
-from .common import cut
+from .common import cut, prepare
 from .groups import components, keep_first
 
 PIVOTS = 16
@@ -76,8 +76,9 @@ def fingerprint(text: str | None, width: int = 3) -> int:
     return int(np.packbits(ones * 2 > n, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, width: int = 3, hashed: bool = False) -> DataFrame:
-    """doc_id, fp (bigint: the 64 bits) of every row; hashed: h, its text's hash, too."""
+def fingerprints(docs: DataFrame, width: int = 3) -> DataFrame:
+    """doc_id, fp (bigint: the 64 bits) of every row."""
+    prepare(docs.sparkSession)
 
     def run(batches):
         import numpy as np
@@ -85,11 +86,9 @@ def fingerprints(docs: DataFrame, width: int = 3, hashed: bool = False) -> DataF
 
         for batch in batches:
             fps = pa.array(np.array([fingerprint(t.as_py(), width) for t in batch.column(1)], "<u8").view("<i8"))
-            yield pa.RecordBatch.from_arrays([batch.column(0), fps, *batch.columns[2:]], ["doc_id", "fp", *["h"][: hashed]])
+            yield pa.RecordBatch.from_arrays([batch.column(0), fps], ["doc_id", "fp"])
 
-    text = F.col("text").cast("string")
-    rows = docs.select(F.col("doc_id").cast("bigint"), text, *[F.xxhash64(text).alias("h")][: hashed])
-    return rows.mapInArrow(run, "doc_id bigint, fp bigint" + ", h bigint" * hashed)
+    return docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).mapInArrow(run, "doc_id bigint, fp bigint")
 
 
 def _blocks(bits: list[int], n: int) -> list[int]:

@@ -17,7 +17,11 @@ import numpy as np
 _SLICE = 1 << 22
 #: Pieces an encoder remembers, about 150 bytes each.
 CACHE = 1_000_000
+#: Bytes of a piece that is worth remembering; base64 and scripts without spaces make longer ones.
+LONG = 64
 _JOIN = 256
+#: What a tokenizer must treat as this module does; else it is refused.
+_PROBE = "The QUICK brown fox's 3 tests,\nand cafés. Ünïcode \u6f22\u5b57 \U0001f600 a.b x,  y\r\n don't <|x|> 12.50 e\u0301 A\tB [INST]</s>"
 _known: dict = {}
 
 
@@ -37,6 +41,8 @@ class Encoder:
         #: Ids of pieces, both as bytes.
         self.words: dict[bytes, bytes] = {b"": b""}
         self.cache = CACHE
+        if self.encode([_PROBE])[0].tolist() != self.tokenizer.encode(_PROBE, add_special_tokens=False).ids:
+            raise ValueError(f"{path} isn't a tokenizer that this module encodes exactly")
 
     @staticmethod
     def of(path: str, special_as_text: bool = False, cache: int = CACHE) -> Encoder:
@@ -135,9 +141,14 @@ class Encoder:
         if len(self.words) + len(unique) > self.cache + 1:  # what this batch needs stays, and with it all that is frequent
             self.words = {b"": b""} | {w: self.words[w] for w in unique if w in self.words}
         known = self.words
-        if new := [w for w in unique if w not in known]:
+        new = [w for w in unique if w not in known]
+        if new:
             self._learn(new)
         data = [known[w] for w in unique]
+        for w in new:
+            if len(w) > LONG:
+                known.pop(w, None)
+                known.pop(w.rstrip(b".,"), None)
         size = np.fromiter(map(len, data), np.int32, len(data)) // self.dtype.itemsize
         pool = np.frombuffer(b"".join(data), self.dtype)
         n = size[index]

@@ -27,7 +27,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut, work_dir
+from .common import cut, prepare, work_dir
 
 QUERY_BLOCK = 4096
 BITS = 8
@@ -36,29 +36,28 @@ _ROWS = 512
 _NULL = np.iinfo(np.int64).max
 
 
-def _vectors(column) -> list[np.ndarray | None]:
-    """Of an Arrow list column: integer-valued vectors, None for those that take no part."""
-    size = column.value_lengths()
-    values = column.flatten()
-    if not column.null_count and not values.null_count and len(column) and size[0].as_py():
-        n = size[0].as_py()
-        if len(values) == n * len(column) and (np.asarray(size) == n).all():
-            m = np.asarray(values, np.float64).reshape(-1, n)
-            good = np.isfinite(m).all(1)
-            m = np.floor(np.where(good[:, None], m, 0) * SCALE)
-            return [v if g else None for v, g in zip(m, good, strict=True)]
-    out = []
-    for v in column.to_pylist():
-        a = None if not v or None in v else np.asarray(v, np.float64)
-        out.append(np.floor(a * SCALE) if a is not None and np.isfinite(a).all() else None)
-    return out
+def _scaled(m: np.ndarray) -> np.ndarray:
+    """floor(SCALE * x): float64, or Python's integers where a product could overflow."""
+    if np.abs(m).max(initial=0) < 1e300:
+        return np.floor(m * SCALE)
+    return np.array([[int(x) * SCALE if abs(x) > 2.0**60 else int(np.floor(x * SCALE)) for x in r] for r in m], object).reshape(m.shape)
+
+
+def _vectors(column, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of an Arrow list column: places and rows (as a matrix) of the vectors of that width without null or non-finite components."""
+    at = np.asarray(column.offsets, np.int64)
+    values = column.values.to_numpy(zero_copy_only=False).astype(np.float64)  # nulls become nan
+    odd = np.concatenate(([0], np.cumsum(~np.isfinite(values))))
+    ok = np.asarray(column.is_valid()) & (np.diff(at) == width) & (odd[at[1:]] == odd[at[:-1]])
+    use = np.flatnonzero(ok)
+    return use, _scaled(values[at[use][:, None] + np.arange(width)])
 
 
 def products(queries: np.ndarray, rows: np.ndarray) -> np.ndarray:
     """Inner products, int64, of integer-valued vectors."""
-    bound = float(np.abs(queries).max(initial=0)) * float(np.abs(rows).max(initial=0)) * queries.shape[1]
-    if bound < 2.0**53:
-        return (queries @ rows.T).astype(np.int64)
+    most = [int(np.abs(m).max(initial=0)) for m in (queries, rows)]
+    if most[0] * most[1] * queries.shape[1] < 2**53:
+        return (queries.astype(np.float64) @ rows.T.astype(np.float64)).astype(np.int64)
     ints = lambda m: [[int(x) for x in r] for r in m]
     exact = ints(rows)
     fit = lambda x: max(-(1 << 63), min((1 << 63) - 1, x))
@@ -71,11 +70,10 @@ def _scored(batches, qid: np.ndarray, qv: np.ndarray, base: int):
     for batch in batches:
         for at in range(0, batch.num_rows, _ROWS):
             piece = batch.slice(at, _ROWS)
-            vectors = _vectors(piece.column(1))
-            use = [i for i, v in enumerate(vectors) if v is not None and len(v) == qv.shape[1]]
-            if use:
+            use, m = _vectors(piece.column(1), qv.shape[1])
+            if len(use):
                 ids = np.array(piece.column(0).fill_null(_NULL), np.int64)[use]
-                u = products(qv, np.stack([vectors[i] for i in use])).view(np.uint64)
+                u = products(qv, m).view(np.uint64)
                 u ^= sign
                 u -= np.uint64(base)
                 yield ids, u, (ids[None, :] != qid[:, None]) | (ids == _NULL)[None, :]
@@ -83,6 +81,7 @@ def _scored(batches, qid: np.ndarray, qv: np.ndarray, base: int):
 
 def top_k(rows: DataFrame, queries: DataFrame, k: int = 5, id_column: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """query_id, rank, vec_id, score: the k best rows of each query by integer inner product of floor(256 * x)."""
+    prepare(rows.sparkSession)
     pick = lambda df: df.select(F.col(id_column).cast("bigint").alias("id"), F.col(vector).cast("array<double>").alias("v"))
     finite = lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))
     wanted = cut(pick(queries).where(F.col("v").isNotNull() & (F.size("v") > 0) & F.forall("v", finite)))
@@ -128,8 +127,8 @@ def top_k(rows: DataFrame, queries: DataFrame, k: int = 5, id_column: str = "vec
 
 def _block(data: DataFrame, group: list, k: int, most: float) -> DataFrame:
     qid = np.array([_NULL if r.id is None else r.id for r in group], np.int64)
-    qv = np.floor(np.asarray([r.v for r in group], np.float64) * SCALE)
-    limit = int(np.abs(qv).max()) * qv.shape[1] * (int(most * SCALE) + 1)
+    qv = _scaled(np.asarray([r.v for r in group], np.float64))
+    limit = int(np.abs(qv).max()) * qv.shape[1] * (int(most) + 1) * SCALE
     digits = min(64 // BITS, -(-(limit.bit_length() + 1) // BITS))
     base = (1 << 63) - (1 << (digits * BITS - 1))
     prefix, need = np.zeros(len(qid), np.uint64), np.full(len(qid), k)
@@ -152,8 +151,8 @@ def _block(data: DataFrame, group: list, k: int, most: float) -> DataFrame:
             for i in np.flatnonzero(ok.any(1)):
                 j = np.flatnonzero(ok[i])
                 score = (u[i, j] + np.uint64(base) ^ np.uint64(1 << 63)).view(np.int64)
-                keep[i] = sorted([*keep.get(i, ()), *zip((-score).tolist(), ids[j].tolist(), strict=True)])[:k]
-        out = [(i, x, -s) for i, v in keep.items() for s, x in v]
+                keep[i] = sorted([*keep.get(i, ()), *zip((~score).tolist(), ids[j].tolist(), strict=True)])[:k]
+        out = [(i, x, ~s) for i, v in keep.items() for s, x in v]
         q, x, s = ([o[n] for o in out] for n in range(3))
         arrays = [pa.array([int(qid[i]) for i in q], pa.int64()), pa.array(map(int, q), pa.int32()), pa.array(x, pa.int64()), pa.array(s, pa.int64())]
         yield pa.RecordBatch.from_arrays(arrays, ["query_id", "q", "vec_id", "score"])

@@ -103,7 +103,7 @@ class _Inflated:
     """A gzip stream of any number of members, read once."""
 
     def __init__(self, source):
-        self.source, self.z, self.held = source, zlib.decompressobj(31), b""
+        self.source, self.z, self.held, self.at = source, zlib.decompressobj(31), bytearray(), 0
 
     def more(self) -> bool:
         while True:
@@ -120,27 +120,32 @@ class _Inflated:
                     raise ValueError("the gzip stream ends early")
             got = self.z.decompress(raw, _PIECE)
             if got:
+                del self.held[: self.at]  # once a piece, not once a record
+                self.at = 0
                 self.held += got
                 return True
 
     def until(self, mark: bytes) -> bytes | None:
         """Up to and with mark; None at the end."""
-        at = 0
-        while (to := self.held.find(mark, at)) < 0:
-            at = max(0, len(self.held) - len(mark))
+        seen = 0
+        while (to := self.held.find(mark, self.at + seen)) < 0:
+            seen = max(0, len(self.held) - self.at - len(mark))
             if not self.more():
-                if self.held.strip():
+                if self.held[self.at :].strip():
                     raise ValueError("the stream ends within a head")
                 return None
-        to += len(mark)
-        out, self.held = self.held[:to], self.held[to:]
+        return self._take(to + len(mark) - self.at)
+
+    def _take(self, n: int) -> bytes:
+        out = bytes(memoryview(self.held)[self.at : self.at + n])
+        self.at += len(out)
         return out
 
     def pieces(self, n: int):
         while n:
-            if not self.held and not self.more():
+            if self.at == len(self.held) and not self.more():
                 raise ValueError("the stream ends within a record")
-            out, self.held = self.held[:n], self.held[n:]
+            out = self._take(n)
             n -= len(out)
             yield out
 

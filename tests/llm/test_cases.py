@@ -2,9 +2,11 @@
 
 import gzip
 import io
+import os
 import random
 import re
 import string
+import zlib
 
 import numpy as np
 import pytest
@@ -33,6 +35,15 @@ def test_topk_odd_rows(spark):
     assert topk.top_k(df.limit(0), df.limit(0), 3).count() == 0 and topk.top_k(df, df.limit(0), 3).count() == 0
 
 
+def test_topk_of_huge_components(spark):
+    """Finite components whose products no float holds: what a bigint can't hold becomes its nearest end."""
+    end = 2**63 - 1
+    rows = [(50, [1e307, 1.0]), (1, [1e307, 0.0]), (2, [-1e307, 0.0]), (3, [0.0, 2.0]), (4, [0.0, 1.0]), (5, [1.0, None]), (6, [float("nan"), 1.0])]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    got = topk.top_k(df, df.where("vec_id = 50"), 5).collect()
+    assert [(r.rank, r.vec_id, r.score) for r in sorted(got, key=lambda r: r.rank)] == [(1, 1, end), (2, 3, 2 * 65536), (3, 4, 65536), (4, 2, -end - 1)]
+
+
 @pytest.mark.parametrize("scale", [1.0, 3e6, 1e9])
 def test_topk_is_exact(spark, scale, monkeypatch):
     monkeypatch.setattr(topk, "QUERY_BLOCK", 7)
@@ -276,7 +287,7 @@ def test_huffman_is_optimal():
 
 
 def test_binary_odd_rows(spark, odd_docs, no_docs, monkeypatch):
-    monkeypatch.setattr(binary, "BLOCK", 20)
+    monkeypatch.setattr(binary, "BLOCK", 5000)
     for docs, n in ((odd_docs, N), (no_docs, 0)):
         folder = work_dir(spark, "binary")
         binary.write(docs, folder, tokenizer())
@@ -284,10 +295,40 @@ def test_binary_odd_rows(spark, odd_docs, no_docs, monkeypatch):
         assert len(got) == n
         assert [r.doc_id for r in got] == sorted((r.doc_id for r in got), key=lambda x: (x is not None, x))
         assert all(a.start + a.n_tokens == b.start for a, b in zip(got, got[1:], strict=False)) and all(r.ids[-1] == 2 and len(r.ids) == r.n_tokens for r in got)
+        assert all(zlib.crc32(np.array(r.ids, "<u4").tobytes()) == r.ids_crc32 for r in got) and (not n or max(r.n_tokens for r in got) > 20 * 5000)
 
 
 # -- 6
 
+def test_mixing_is_the_same_again(spark):
+    """Rows that repeat id, source and text but not the rest get the same takes every time, and a null source isn't an empty one."""
+    rows = [(1, "a b c", "x", i) for i in range(40)] + [(1, "a b c", None, 100 + i) for i in range(3)] + [(1, "a b c", "", 200 + i) for i in range(5)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, source string, n_chars bigint")
+    seen = [sorted(map(str, mixing.mixed(df.repartition(n)).collect())) for n in (1, 3, 7)]
+    assert seen[0] == seen[1] == seen[2]
+    plan = mixing.plan(df).collect()
+    for source, n in (("x", 40), (None, 3), ("", 5)):
+        mine = [r for r in plan if r.source == source]
+        assert len(mine) == n and {r.source_size for r in mine} == {3 * n}
+        taken = sum(len(t.split()) for t in re.findall(r"text='([^']*)', source=" + ("None" if source is None else f"'{source}'"), " ".join(seen[0])))
+        assert taken == sum(r.taken for r in mine)
+
+
+def test_tokenizers_are_probed():
+    import public_tokenizers
+
+    with pytest.raises(ValueError):
+        tokens.Encoder(public_tokenizers.path([n for n in os.listdir(os.path.dirname(tokenizer())) if n.endswith(".json") and n != os.path.basename(tokenizer())][0]))
+
+
+def test_long_pieces_are_not_kept():
+    e = tokens.Encoder(tokenizer())
+    held = len(e.words)
+    text = " ".join("漢字" * 40 + str(i) for i in range(50)) + " " + "QWERTY" * 30 + "."
+    ids, _ = e.encode([text])
+    assert ids.tolist() == e.tokenizer.encode(text, add_special_tokens=False).ids and len(e.words) <= held + 3
+
+
 def test_mixing_odd_rows(odd_docs, no_docs):
     rows = mixing.plan(odd_docs).collect()
     assert len(rows) == N and sum(r.size for r in rows) == 13 * 3 + 1 + 200_000 + 5 + 4 + 8
@@ -331,6 +372,19 @@ def test_warc_normaliser(monkeypatch):
         list(warc.normalise(io.BytesIO(gzip.compress(records[5])[:-20]), io.BytesIO()))
 
 
+def test_warc_small_records_cost_no_more(monkeypatch):
+    """Time goes by bytes, not by records times what is held."""
+    import time
+
+    def took(size):
+        data = gzip.compress(b"".join(warc.record(i, "u", b"x" * size, "d", None) for i in range(6_000_000 // size)), 1)
+        t = time.process_time()
+        assert sum(1 for _ in warc.normalise(io.BytesIO(data), io.BytesIO())) == 6_000_000 // size
+        return time.process_time() - t
+
+    assert took(300) < 4 * took(30_000) + 2
+
+
 # -- 8
 
 def _chat(spark, rows):
