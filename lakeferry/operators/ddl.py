@@ -45,25 +45,37 @@ def table_options(options: dict | None) -> dict:
 
 def create_schema(c: Catalog, name: str, if_not_exists: bool = False) -> None:
     store = c.writable("CREATE SCHEMA")
-    if name in store.schemas():
+    if name in c.schema_names():
         if if_not_exists:
             return
         raise Exists(f"schema {name} exists already")
+    if c.txn is not None:
+        c.txn.schemas[name] = True
     store.create_schema(name)
 
 
 def drop_schema(c: Catalog, name: str, if_exists: bool = False, cascade: bool = False) -> None:
     store = c.writable("DROP SCHEMA")
-    if name not in store.schemas():
+    if name not in c.schema_names():
         if if_exists:
             return
         raise NotFound(f"no schema {name}")
-    if store.tables(name) and not cascade:
+    tables = c.stored_tables(name)
+    if tables and not cascade:
         raise EngineError(f"schema {name} has tables")
-    store.drop(name)
+    for t in tables:
+        drop_table(c, f"{_bracketed(name)}.{_bracketed(t)}")
+    if c.txn is not None:
+        c.txn.schemas[name] = False
+    else:
+        store.drop(name)
     c.invalidate(name)
 
 
+def _bracketed(name: str) -> str:
+    return "[" + name.replace("]", "]]") + "]"
+
+
 def create_table(c: Catalog, name: str, schema: T.StructType | str, key: list[str] | None = None, if_not_exists: bool = False, or_replace: bool = False, options: dict | None = None, partitioned_by=None, sorted_by=None) -> bool:
     """Makes an empty table; whether it was made. Constraints but the primary key aren't kept."""
     c.writable("CREATE TABLE")
@@ -88,7 +100,7 @@ def create_table(c: Catalog, name: str, schema: T.StructType | str, key: list[st
         if k.lower() not in names:
             raise NotFound(f"no column {k} for the key")
     seeds = [x.identity[0] for x in cols if x.identity]
-    stage(c, store_, table, Meta(cols, list(key or []), options=options, next_identity=seeds[0] if seeds else None), old.version if old else 0)
+    stage(c, store_, table, Meta(cols, list(key or []), options=options, next_identity=seeds[0] if seeds else None), c.version(store_, table))
     return True
 
 
@@ -115,23 +127,28 @@ def existing(c: Catalog, name: str, what: str) -> tuple[str, str, Meta]:
 
 
 def drop_table(c: Catalog, name: str, if_exists: bool = False) -> None:
+    """A last version that says so; the data goes with a vacuum."""
+    if c.drop_temporary(name):
+        return
     try:
-        schema, table, _ = existing(c, name, "DROP TABLE")
+        schema, table, m = existing(c, name, "DROP TABLE")
     except NotFound:
         if if_exists:
             return
         raise
-    if c.txn is not None:
-        c.txn.staged.pop((schema, table), None)
-    c.store.drop(schema, table)
-    c.invalidate(schema, table)
+    stage(c, schema, table, Meta([], dropped=True), m.version)
 
 
 def rename_table(c: Catalog, name: str, to: str) -> None:
-    schema, table, _ = existing(c, name, "ALTER TABLE")
+    """The same version under another name; its segments stay where they are."""
+    schema, table, m = existing(c, name, "ALTER TABLE")
     if c.meta(schema, to) is not None:
         raise Exists(f"table {to} exists already")
-    c.store.rename(schema, table, to)
+    if c.txn is not None:
+        c.txn.put(schema, table, Meta([], dropped=True), m.version)
+        c.txn.put(schema, to, m, c.version(schema, to))
+        return
+    c.store.publish_all({(schema, to): (m, c.version(schema, to)), (schema, table): (Meta([], dropped=True), m.version)})
     c.invalidate(schema)
 
 
@@ -189,9 +206,9 @@ def alter_type(c: Catalog, name: str, column: str, kind: str) -> None:
     old, t = m.col(column), T._parse_datatype_string(kind)
     new = replace(old, type=t.simpleString(), remote=remote_type(T.StructField(column, t)), nullable=True, phys=f"c_{uuid.uuid4().hex[:8]}")
     cols = [new if x is old else x for x in m.columns]
-    df = c.store.read(schema, table, m).select(*[F.col(f"`{x.name}`").cast(t) if x is old else F.col(f"`{x.name}`") for x in m.columns])
-    segment, rows = c.store.write(schema, table, cols, df)
-    stage(c, schema, table, replace(m, columns=cols, segments=[segment], rows=rows), m.version)
+    df = c.store.read(m).select(*[F.col(f"`{x.name}`").cast(t) if x is old else F.col(f"`{x.name}`") for x in m.columns])
+    segment, rows = c.store.write(schema, table, cols, df, options=m.options)
+    stage(c, schema, table, replace(m, columns=cols, segments=[segment], gone={}, rows=rows), m.version)
 
 
 def refuse(kind: str) -> None:

@@ -8,7 +8,8 @@ from pyspark.sql import types as T
 
 from ..errors import Refused
 from ..functions.types import spark_type
-from ..sources.catalog import Catalog, translate
+from ..plans.dialect import names, spark_sql
+from ..sources.catalog import Catalog
 from . import ddl, dml, load
 
 _NAME = r"(?:`(?:[^`]|``)+`|[\w#$]+)(?:\.(?:`(?:[^`]|``)+`|[\w#$]+)){0,2}"
@@ -21,7 +22,7 @@ def _plain(name: str) -> str:
 def _list(text: str) -> list[str]:
     """Parts at commas outside of brackets and quotes."""
     out, depth, held = [], 0, ""
-    for m in re.finditer(r"'(?:[^'\\]|\\.)*'|`[^`]*`|.", text, re.S):
+    for m in re.finditer(r"'(?:[^']|'')*'|`[^`]*`|.", text, re.S):
         depth += {"(": 1, ")": -1}.get(m[0], 0)
         if m[0] == "," and not depth:
             out.append(held.strip())
@@ -33,25 +34,25 @@ def _list(text: str) -> list[str]:
 
 def execute(c: Catalog, sql: str) -> int:
     """Runs one statement; rows changed."""
-    text = translate(sql).strip().rstrip(";")
-    match = lambda p: re.fullmatch(p.replace("NAME", f"({_NAME})"), text, re.I | re.S)
+    text = names(sql).strip().rstrip(";")
+    match = lambda p: re.fullmatch(re.sub(r"\bNAME\b", lambda _: f"({_NAME})", p), text, re.I | re.S)
     if m := match(r"INSERT\s+INTO\s+NAME\s*(?:\(([^()]*)\)\s*)?((?:SELECT|VALUES|WITH|FROM)\b.*)"):
         columns = [_plain(x) for x in m[2].split(",")] if m[2] else None
         return dml.insert(c, m[1], c._select(m[3]), columns)
     if m := match(r"UPDATE\s+NAME\s+SET\s+(.*?)(?:\s+WHERE\s+(.*))?"):
         pairs = [re.split(r"\s*=\s*", x, maxsplit=1) for x in _list(m[2])]
-        return dml.update(c, m[1], {_plain(k): v for k, v in pairs}, m[3])
+        return dml.update(c, m[1], {_plain(k): spark_sql(v) for k, v in pairs}, m[3] and spark_sql(m[3]))
     if m := match(r"DELETE\s+FROM\s+NAME(?:\s+WHERE\s+(.*))?"):
-        return dml.delete(c, m[1], m[2])
+        return dml.delete(c, m[1], m[2] and spark_sql(m[2]))
     if m := match(r"TRUNCATE\s+TABLE\s+NAME"):
         schema, table, meta = ddl.existing(c, m[1], "TRUNCATE")
-        ddl.stage(c, schema, table, ddl.replace(meta, segments=[], rows=0), meta.version)
+        ddl.stage(c, schema, table, ddl.replace(meta, segments=[], gone={}, rows=0), meta.version)
         return meta.rows
     if m := match(r"CREATE\s+SCHEMA\s+(IF\s+NOT\s+EXISTS\s+)?NAME"):
         ddl.create_schema(c, _plain(m[2]), bool(m[1]))
         return 0
-    if m := match(r"DROP\s+SCHEMA\s+(IF\s+EXISTS\s+)?NAME"):
-        ddl.drop_schema(c, _plain(m[2]), bool(m[1]))
+    if m := match(r"DROP\s+SCHEMA\s+(IF\s+EXISTS\s+)?NAME(\s+CASCADE)?"):
+        ddl.drop_schema(c, _plain(m[2]), bool(m[1]), cascade=bool(m[3]))
         return 0
     if m := match(r"DROP\s+TABLE\s+(IF\s+EXISTS\s+)?NAME"):
         ddl.drop_table(c, m[2], bool(m[1]))
@@ -69,7 +70,7 @@ def execute(c: Catalog, sql: str) -> int:
             if i := re.search(r"IDENTITY\s*(?:\((-?\d+)\s*,\s*(-?\d+)\))?", rest, re.I):
                 said["identity"] = [int(i[1] or 1), int(i[2] or 1)]
             if d := re.search(r"DEFAULT\s+(\([^)]*\)|'[^']*'|\S+)", rest, re.I):
-                said["default"] = d[1]
+                said["default"] = spark_sql(d[1])
             if o := re.search(r"COLLATE\s+(\w+)", rest, re.I):
                 said["collation"] = o[1]
             if re.search(r"PRIMARY\s+KEY", rest, re.I):

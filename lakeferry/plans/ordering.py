@@ -4,8 +4,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
 from ..functions.literals import quote
-from .predicates import FUNCTIONS
+from .predicates import FUNCTIONS, LOCAL
 
 
 @dataclass(frozen=True)
@@ -18,6 +21,13 @@ class Key:
     function: str | None = None
     nullable: bool = True
 
+    def column_of(self) -> Column:
+        """The key as Spark sorts by it; nulls where the remote puts them, if nothing is said."""
+        c = F.col("`" + self.column.replace("`", "``") + "`")
+        c = FUNCTIONS[self.function][1](c) if self.function in FUNCTIONS else LOCAL[self.function](c) if self.function else c
+        first = not self.descending if self.nulls_first is None else self.nulls_first
+        return getattr(c, f"{'desc' if self.descending else 'asc'}_nulls_{'first' if first else 'last'}")()
+
 
 def pushable(k: Key) -> bool:
     """Remote nulls come first ascending and last descending; another order counts only if there are none."""
@@ -50,9 +60,9 @@ def enabled(setting: bool, attach_option: bool) -> bool:
     return setting or attach_option
 
 
-def statement(schema: str, table: str, columns: list[str], where: str = "", push: Push | None = None) -> str:
-    """The SELECT a scan sends."""
+def statement(schema: str, table: str, items: list[str], where: str = "", push: Push | None = None) -> str:
+    """The SELECT a scan sends; items: its select list, as text."""
     top = f"TOP {push.top} " if push and push.top is not None else ""
-    out = f"SELECT {top}{', '.join(map(quote, columns))} FROM {quote(schema)}.{quote(table)}"
+    out = f"SELECT {top}{', '.join(items)} FROM {quote(schema)}.{quote(table)}"
     out += f" WHERE {where}" if where else ""
     return out + (f" ORDER BY {push.order_by}" if push and push.order_by else "")

@@ -37,13 +37,14 @@ FUNCTIONS = {
     "%": ("({0} % {1})", lambda a, b: a % b),
     "negate": ("(-{0})", lambda a: -a),
 }
+DATE_PARTS = ("year", "month", "day", "hour", "minute", "second")
 LOCAL = {"length": F.length, "/": lambda a, b: a / b, "dayofweek": F.dayofweek, "weekofyear": F.weekofyear, "to_date": F.to_date}
 
 
 @dataclass(frozen=True)
 class Node:
     """op and arguments: ("col", name), ("lit", value), ("=", a, b), ("and", *p), ("or", *p), ("not", p), ("null", a), ("notnull", a),
-    ("in", a, *literals), ("between", a, low, high, closed_low, closed_high), ("case", (when, then)..., else), ("like", kind, a, text, ignore_case), ("fn", name, *args)."""
+    ("in", a, *literals), ("between", a, low, high, closed_low, closed_high), ("case", (when, then)..., else), ("like", kind, a, text, ignore_case), ("fn", name, *args), ("cast", a, source, target)."""
 
     op: str
     args: tuple = ()
@@ -71,8 +72,8 @@ class _Local(Exception):
     pass
 
 
-def text(p: Node, predicate: bool = False, depth: int = 0) -> str:
-    """Remote SQL of a tree; raises _Local where it has no exact counterpart. predicate: a truth value is asked for."""
+def text(p: Node, predicate: bool = False, depth: int = 0, part: bool = False) -> str:
+    """Remote SQL of a tree; raises _Local where it has no exact counterpart. predicate: a truth value is asked for; part: a date part is taken of it."""
     if depth > DEPTH:
         raise _Local
     sub = lambda x, truth=False: text(x, truth, depth + 1)
@@ -108,7 +109,14 @@ def text(p: Node, predicate: bool = False, depth: int = 0) -> str:
             pattern = ("" if kind == "prefix" else "%") + like_escape(pattern) + ("" if kind == "suffix" else "%")
             a, b = sub(x), literal(pattern)
             return f"(LOWER({a}) LIKE LOWER({b}))" if ignore else f"({a} LIKE {b})"
+        case "cast", (x, source, target):
+            # text to text is nothing; timestamps without zone, only where a date part is taken of them
+            if predicate or source != target or not (source == "string" or (source == "timestamp_ntz" and part)):
+                raise _Local
+            return sub(x)
         case "fn", (name, *args):
+            if name in DATE_PARTS and not predicate:
+                return FUNCTIONS[name][0].format(*[text(x, False, depth + 1, part=True) for x in args])
             if name not in FUNCTIONS or (name == "%" and p.float_) or predicate:
                 raise _Local
             return FUNCTIONS[name][0].format(*map(sub, args))
@@ -117,6 +125,19 @@ def text(p: Node, predicate: bool = False, depth: int = 0) -> str:
     raise _Local
 
 
+def names(p: Node) -> list[str]:
+    """Columns a tree refers to."""
+    if p.op == "col":
+        return [p.args[0]]
+    parts = [y for x in p.args for y in (x if isinstance(x, tuple) else (x,))]
+    return [n for x in parts if isinstance(x, Node) for n in names(x)]
+
+
+def cast(x: Node, source: str, target: str) -> Node:
+    """A cast; source and target: Spark's names of the types."""
+    return node("cast", x, source, target)
+
+
 def conjuncts(p: Node) -> list[Node]:
     return [y for x in p.args for y in conjuncts(x)] if p.op == "and" else [p]
 
@@ -163,6 +184,8 @@ def column(p: Node) -> Column:
             a, b = column(x), F.lit(pattern)
             a, b = (F.lower(a), F.lower(b)) if ignore else (a, b)
             return {"prefix": a.startswith, "suffix": a.endswith, "contains": a.contains}[kind](b)
+        case "cast", (x, _, target):
+            return column(x).cast(target)
         case "fn", (name, *args):
             f = FUNCTIONS[name][1] if name in FUNCTIONS else LOCAL[name]
             return f(*map(column, args))

@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,8 +16,10 @@ from .functions import convert
 from .functions.collation import collate
 from .functions.literals import literal
 from .operators import ddl, dml, load, txn
-from .plans.predicates import col, column, encode, fn, lit, node
+from .plans.ordering import Key
+from .plans.predicates import cast, col, encode, fn, lit, node
 from .session import fresh_dir, prepare
+from .settings import settings
 from .sources.catalog import Catalog
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -84,12 +87,15 @@ def scan_full(spark, sf_dir):
 
 
 def _filter(name: str, table: str, columns: list[str], where, sql: str, extra=None):
+    """A scan whose filter goes as text, but for what its name calls residual."""
+
     def run(spark, sf_dir):
         c = attached(spark, sf_dir)
-        df = c.table(table) if extra is None else extra(c.table(table))
+        if extra is not None:
+            c.add_view("derived", lambda k: extra(k.table(table)))
         said, rest = encode(where)
-        assert said or rest
-        return df.where(column(where)).select(*columns)
+        assert bool(rest) == ("residual" in name) and (said or rest)
+        return c.scan(table if extra is None else "derived", columns, where)
 
     QUERIES[name] = run
     ORACLES[name] = f"SELECT {', '.join(columns)} FROM {sql}"
@@ -123,6 +129,8 @@ _filter("filter_residual_length", "customer", _CU, node(">", fn("length", col("c
 _filter("filter_residual_division", "part", ["p_partkey"], node(">", fn("/", col("p_size"), lit(4)), lit(12.25)), "part WHERE p_size / 4 > 12.25")
 _filter("filter_residual_float_modulo", "lineitem", _LI, node("=", fn("%", col("l_quantity", "float"), lit(7.0)), lit(3.0)), "lineitem WHERE l_quantity % 7 = 3")
 _filter("filter_residual_cast_date", "orders", ["o_orderkey"], node("=", fn("to_date", col("o_orderdate")), lit(dt.date(1995, 3, 15))), "orders WHERE CAST(o_orderdate AS DATE) = DATE '1995-03-15'")
+_filter("filter_cast_date_part", "orders", ["o_orderkey"], node("=", fn("month", cast(col("o_orderdate"), "timestamp_ntz", "timestamp_ntz")), lit(7)), "orders WHERE month(o_orderdate) = 7")
+_filter("filter_residual_cast_text", "orders", ["o_orderkey"], node("like", "suffix", cast(col("o_orderkey"), "bigint", "string"), "77", False), "orders WHERE ends_with(CAST(o_orderkey AS VARCHAR), '77')")
 _filter("filter_fn_year_month", "orders", ["o_orderkey"], node("and", node("=", fn("year", col("o_orderdate")), lit(1996)), node("=", fn("month", col("o_orderdate")), lit(2))), "orders WHERE year(o_orderdate) = 1996 AND month(o_orderdate) = 2")
 _filter("filter_fn_day", "orders", ["o_orderkey"], node("=", fn("day", col("o_orderdate")), lit(29)), "orders WHERE day(o_orderdate) = 29")
 _filter("filter_fn_time", "events", ["event_id"], node("and", node("=", fn("hour", col("ts")), lit(13)), node("<", fn("minute", col("ts")), lit(30)), node(">=", fn("second", col("ts")), lit(0))), "events WHERE hour(ts) = 13 AND minute(ts) < 30 AND second(ts) >= 0")
@@ -168,19 +176,29 @@ def filter_like(spark, sf_dir):
 
 
 def _ordered(name: str, build, sql: str):
-    QUERIES[name] = lambda spark, sf_dir: build(attached(spark, sf_dir))
+    QUERIES[name] = lambda spark, sf_dir: build(attached(spark, sf_dir, order_pushdown=True))
     ORACLES[name] = sql
 
 
-_ordered("order_asc", lambda c: c.scan("customer", _CU, order=[F.asc("c_acctbal"), F.asc("c_custkey")]), "SELECT c_custkey, c_name FROM customer ORDER BY c_acctbal, c_custkey")
-_ordered("order_desc", lambda c: c.scan("customer", _CU, order=[F.desc("c_acctbal"), F.asc("c_custkey")]), "SELECT c_custkey, c_name FROM customer ORDER BY c_acctbal DESC, c_custkey")
-_ordered("order_multi", lambda c: c.scan("customer", _CU, order=[F.asc("c_mktsegment"), F.desc("c_nationkey"), F.asc("c_custkey")], limit=500), "SELECT c_custkey, c_name FROM customer ORDER BY c_mktsegment, c_nationkey DESC, c_custkey LIMIT 500")
-_ordered("order_fn_year", lambda c: c.scan("orders", ["o_orderkey"], order=[F.year("o_orderdate"), F.asc("o_orderkey")], limit=100), "SELECT o_orderkey FROM orders ORDER BY year(o_orderdate), o_orderkey LIMIT 100")
-_ordered("order_nulls_first", lambda c: _tax(c.table("lineitem")).orderBy(F.asc_nulls_first("t"), "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").limit(50).select(*_LI), f"SELECT l_orderkey, l_linenumber FROM {_nullable} ORDER BY t NULLS FIRST, l_orderkey, l_linenumber, l_partkey, l_suppkey LIMIT 50")
-_ordered("order_nulls_last", lambda c: _tax(c.table("lineitem")).orderBy(F.desc_nulls_last("t"), "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").limit(50).select(*_LI), f"SELECT l_orderkey, l_linenumber FROM {_nullable} ORDER BY t DESC NULLS LAST, l_orderkey, l_linenumber, l_partkey, l_suppkey LIMIT 50")
-_ordered("topn", lambda c: c.scan("orders", ["o_orderkey", "o_totalprice"], order=[F.desc("o_totalprice"), F.asc("o_orderkey")], limit=100), "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 100")
-_ordered("topn_filtered", lambda c: c.scan("orders", ["o_orderkey"], node("=", col("o_orderstatus"), lit("F")), [F.desc("o_orderdate"), F.asc("o_orderkey")], 50), "SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F' ORDER BY o_orderdate DESC, o_orderkey LIMIT 50")
-_ordered("topn_pruned_key", lambda c: c.scan("orders", ["o_orderkey"], order=[F.asc("o_totalprice"), F.asc("o_orderkey")], limit=20), "SELECT o_orderkey FROM orders ORDER BY o_totalprice, o_orderkey LIMIT 20")
+def _derived(c: Catalog, build, table: str) -> Catalog:
+    c.add_view("derived", lambda k: build(k.table(table)))
+    return c
+
+
+_key = lambda c, **k: Key(c, nullable=False, **k)
+_ordered("order_asc", lambda c: c.scan("customer", _CU, order=[_key("c_acctbal"), _key("c_custkey")]), "SELECT c_custkey, c_name FROM customer ORDER BY c_acctbal, c_custkey")
+_ordered("order_desc", lambda c: c.scan("customer", _CU, order=[_key("c_acctbal", descending=True), _key("c_custkey")]), "SELECT c_custkey, c_name FROM customer ORDER BY c_acctbal DESC, c_custkey")
+_ordered("order_multi", lambda c: c.scan("customer", _CU, order=[_key("c_mktsegment"), _key("c_nationkey", descending=True), _key("c_custkey")]), "SELECT c_custkey, c_name FROM customer ORDER BY c_mktsegment, c_nationkey DESC, c_custkey")
+_ordered("order_fn_year", lambda c: c.scan("orders", ["o_orderkey"], order=[_key("o_orderdate", function="year"), _key("o_orderkey")]), "SELECT o_orderkey FROM orders ORDER BY year(o_orderdate), o_orderkey")
+_ordered("order_nulls_first", lambda c: _derived(c, _tax, "lineitem").scan("derived", _LI, order=[Key("t", nulls_first=True), _key("l_orderkey"), _key("l_linenumber")]), f"SELECT l_orderkey, l_linenumber FROM {_nullable} ORDER BY t NULLS FIRST, l_orderkey, l_linenumber")
+_ordered("order_nulls_last", lambda c: _derived(c, _tax, "lineitem").scan("derived", _LI, order=[Key("t", descending=True, nulls_first=False), _key("l_orderkey"), _key("l_linenumber")]), f"SELECT l_orderkey, l_linenumber FROM {_nullable} ORDER BY t DESC NULLS LAST, l_orderkey, l_linenumber")
+_ordered("order_prefix", lambda c: _derived(c, _tax, "lineitem").scan("derived", _LI, order=[_key("l_orderkey"), Key("t", nulls_first=False)]), f"SELECT l_orderkey, l_linenumber FROM {_nullable} ORDER BY l_orderkey, t NULLS LAST")
+_ordered("order_not_pushed", lambda c: attached(c.spark, c.source).scan("customer", _CU, order=[_key("c_custkey", descending=True)]), "SELECT c_custkey, c_name FROM customer ORDER BY c_custkey DESC")
+_ordered("topn", lambda c: c.scan("orders", ["o_orderkey", "o_totalprice"], order=[_key("o_totalprice", descending=True), _key("o_orderkey")], limit=100), "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 100")
+_ordered("topn_filtered", lambda c: c.scan("orders", ["o_orderkey"], node("=", col("o_orderstatus"), lit("F")), [_key("o_orderdate", descending=True), _key("o_orderkey")], 50), "SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F' ORDER BY o_orderdate DESC, o_orderkey LIMIT 50")
+_ordered("topn_residual", lambda c: c.scan("customer", ["c_custkey"], node(">", fn("length", col("c_mktsegment")), lit(8)), [_key("c_acctbal"), _key("c_custkey")], 30), "SELECT c_custkey FROM customer WHERE length(c_mktsegment) > 8 ORDER BY c_acctbal, c_custkey LIMIT 30")
+_ordered("topn_nulls_last", lambda c: _derived(c, _tax, "lineitem").scan("derived", _LI, order=[Key("t", nulls_first=False), _key("l_orderkey"), _key("l_linenumber"), _key("l_partkey"), _key("l_suppkey")], limit=40), f"SELECT l_orderkey, l_linenumber FROM {_nullable} ORDER BY t NULLS LAST, l_orderkey, l_linenumber, l_partkey, l_suppkey LIMIT 40")
+_ordered("topn_pruned_key", lambda c: c.scan("orders", ["o_orderkey"], order=[_key("o_totalprice"), _key("o_orderkey")], limit=20), "SELECT o_orderkey FROM orders ORDER BY o_totalprice, o_orderkey LIMIT 20")
 _ordered("limit_offset", lambda c: c.table("customer").orderBy("c_custkey").offset(100).limit(25).select(*_CU), "SELECT c_custkey, c_name FROM customer ORDER BY c_custkey LIMIT 25 OFFSET 100")
 
 # -- joins, aggregates, sets
@@ -208,7 +226,7 @@ def join_cross_cte(spark, sf_dir):
 @query("WITH t AS (SELECT * FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 50) SELECT o_orderkey, c_name FROM t JOIN customer ON o_custkey = c_custkey")
 def join_topn_cte(spark, sf_dir):
     c = attached(spark, sf_dir)
-    top = c.scan("orders", order=[F.desc("o_totalprice"), F.asc("o_orderkey")], limit=50)
+    top = c.scan("orders", order=[Key("o_totalprice", True, nullable=False), Key("o_orderkey", nullable=False)], limit=50)
     return top.join(c.table("customer"), F.col("o_custkey") == F.col("c_custkey")).select("o_orderkey", "c_name")
 
 
@@ -262,10 +280,10 @@ def source_range(spark, sf_dir):
     return spark.range(1000).select("id", (F.col("id") * F.col("id")).alias("sq"))
 
 
-@query("SELECT c_custkey, c_acctbal FROM customer WHERE c_custkey <= 500")
+@query("SELECT c_custkey, c_acctbal FROM customer")
 def csv_round_trip(spark, sf_dir):
     at = fresh_dir(spark, "csv")
-    attached(spark, sf_dir).table("customer").where("c_custkey <= 500").select("c_custkey", "c_acctbal").write.option("header", "true").csv(at)
+    attached(spark, sf_dir).table("customer").select("c_custkey", "c_acctbal").write.option("header", "true").csv(at)
     return spark.read.schema("c_custkey bigint, c_acctbal double").option("header", "true").csv(at)
 
 
@@ -354,6 +372,26 @@ def scan_view(spark, sf_dir):
     return c.table("dbo.balances")
 
 
+# -- statements as text: what a dialect's literals, brackets and TOP mean
+
+
+def _text(name: str, tsql: str, sql: str):
+    QUERIES[name] = lambda spark, sf_dir: attached(spark, sf_dir).query(tsql)
+    ORACLES[name] = sql
+
+
+_text("text_literals", "SELECT r_name, 'copied from nation, join region' AS x, 'it''s {0} -- [a]' AS y, N'back\\slash' AS z FROM dbo.region WHERE r_name NOT LIKE '{%'", "SELECT r_name, 'copied from nation, join region' AS x, 'it''s {0} -- [a]' AS y, 'back\\slash' AS z FROM region")
+_text("text_like_classes", "SELECT c_custkey, c_name FROM customer WHERE c_name LIKE '%[0-4][^1-8]' AND c_mktsegment LIKE 'B%'", "SELECT c_custkey, c_name FROM customer WHERE regexp_matches(c_name, '[0-4][^1-8]$') AND c_mktsegment LIKE 'B%'")
+_text("text_top_nested", "SELECT TOP 5 t.[o_orderkey] FROM (SELECT TOP (20) o_orderkey, o_totalprice FROM [dbo].[orders] ORDER BY o_totalprice DESC, o_orderkey) AS t ORDER BY t.o_orderkey", "SELECT o_orderkey FROM (SELECT o_orderkey FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 20) ORDER BY 1 LIMIT 5")
+_text("text_top_cte", "WITH t AS (SELECT TOP 3 c_custkey AS k FROM dbo.customer ORDER BY c_acctbal, c_custkey) SELECT TOP 2 k FROM t ORDER BY k DESC", "WITH t AS (SELECT c_custkey AS k FROM customer ORDER BY c_acctbal, c_custkey LIMIT 3) SELECT k FROM t ORDER BY k DESC LIMIT 2")
+_text("text_top_union", "SELECT TOP 2 s_suppkey AS k FROM supplier UNION ALL SELECT n_nationkey FROM dbo.nation ORDER BY 1 DESC", "SELECT k FROM (SELECT s_suppkey AS k FROM supplier LIMIT 2) UNION ALL SELECT n_nationkey FROM nation")
+_text("text_top_ties", "SELECT TOP 7 WITH TIES p_partkey, p_size FROM part ORDER BY p_size", "SELECT p_partkey, p_size FROM (SELECT *, rank() OVER (ORDER BY p_size) AS r FROM part) WHERE r <= 7")
+_text("text_top_percent", "SELECT TOP 10 PERCENT o_orderkey FROM orders ORDER BY o_totalprice DESC, o_orderkey", "SELECT o_orderkey FROM (SELECT *, row_number() OVER (ORDER BY o_totalprice DESC, o_orderkey) AS r, count(*) OVER () AS n FROM orders) WHERE r <= ceil(n / 10.0)")
+_text("text_indexing", "SELECT n_nationkey, array(n_name, 'x')[0] AS a, [n_regionkey] AS b FROM [dbo].[nation] WITH (NOLOCK) WHERE split(n_name, 'A')[0] <> ''", "SELECT n_nationkey, n_name AS a, n_regionkey AS b FROM nation WHERE NOT starts_with(n_name, 'A')")
+_text("text_subplans", "SELECT a.n, b.m FROM (SELECT count(*) AS n FROM dbo.orders, nation WHERE n_nationkey = 1) a CROSS JOIN (SELECT max(x.s) AS m FROM (SELECT extract(YEAR FROM o_orderdate) AS s FROM db.dbo.orders) x) b", "SELECT (SELECT count(*) FROM orders) AS n, (SELECT max(year(o_orderdate)) FROM orders) AS m")
+_text("text_types", "SELECT event_id, CAST(value AS FLOAT) AS f, DATEPART(HOUR, [ts]) AS h, ISNULL(NULLIF(event_type, 'click'), N'-') AS k FROM events WHERE ts >= CAST('1990-01-01T00:00:00.0000000' AS DATETIME2(7))", "SELECT event_id, value AS f, hour(ts) AS h, coalesce(nullif(event_type, 'click'), '-') AS k FROM events")
+
+
 # -- store, DDL, DML
 
 
@@ -462,10 +500,10 @@ def copy_replace(spark, sf_dir):
     return c.table("cust")
 
 
-@query(f"{_cust} WHERE c_custkey % 3 = 0")
+@query("SELECT s_suppkey AS id, s_name AS name, s_acctbal AS bal FROM supplier")
 def copy_truncate(spark, sf_dir):
     c = _customers(spark, sf_dir)
-    load.copy_to(c, attached(spark, sf_dir).query(_cust).where("id % 3 = 0"), "cust", truncate=True)
+    load.copy_to(c, attached(spark, sf_dir).query("SELECT s_suppkey AS id, s_name AS name, s_acctbal AS bal FROM supplier"), "cust", truncate=True)
     return c.table("cust")
 
 
@@ -531,9 +569,167 @@ def copy_temporary(spark, sf_dir):
     return next(iter(c.views.values()))(c)
 
 
+@query("SELECT c_custkey, c_name FROM customer")
+def ctas_by_insert(spark, sf_dir):
+    """CREATE TABLE, then INSERT: what ctas_use_bcp off asks for."""
+    c = new_store(spark)
+    settings["ctas_use_bcp"] = False
+    try:
+        load.create_table_as(c, "t", attached(spark, sf_dir).table("customer").select("c_custkey", "c_name"))
+    finally:
+        settings.reset("ctas_use_bcp")
+    return c.table("t")
+
+
+@query("SELECT r_regionkey, left(r_name, 4) AS r_name FROM region")
+def copy_string_length(spark, sf_dir):
+    c = new_store(spark)
+    load.copy_to(c, attached(spark, sf_dir).table("region").select("r_regionkey", "r_name"), "t", string_length=4)
+    return c.table("t")
+
+
+@query("SELECT 'false' AS clustered, 'true' AS heap")
+def copy_table_lock(spark, sf_dir):
+    """The decision that a load notes: heaps are locked whole, tables with an order aren't."""
+    c, src = new_store(spark), attached(spark, sf_dir).table("region").select("r_regionkey")
+    load.copy_to(c, src, "heap")
+    load.copy_to(c, src, "cold", table_kind="columnstore")
+    return _rows(spark, [tuple(str(c.meta("dbo", t).options["tablock"]).lower() for t in ("cold", "heap"))], "clustered string, heap string")
+
+
+@query("SELECT 1 AS files, 4 AS written, true AS sorted")
+def table_options(spark, sf_dir):
+    """A clustered table's files are in its order; data_compression is the files' codec; parallel loads write so many files."""
+    c = new_store(spark)
+    ddl.create_table(c, "t", "o_orderkey bigint, o_totalprice double", options={"clustered_index": "o_totalprice", "data_compression": "page"})
+    load.copy_to(c, attached(spark, sf_dir).table("orders").select("o_orderkey", "o_totalprice"), "t", parallel=4, flush_rows=0)
+    m = c.meta("dbo", "t")
+    names = c.store.data_files(m.segments[0])
+    rows = c.table("t").withColumn("p", F.spark_partition_id()).withColumn("i", F.monotonically_increasing_id()).where(F.input_file_name().endswith(names[0]))
+    late = rows.withColumn("before", F.lag("o_totalprice").over(Window.partitionBy("p").orderBy("i"))).where("before > o_totalprice")
+    return _rows(spark, [(int(all(".zstd." in n for n in names)), len(names), late.isEmpty())], "files int, written int, sorted boolean")
+
+
+@query("SELECT 1 AS rewritten, 3 AS kept, true AS same_names, c AS rows FROM (SELECT count(*) AS c FROM orders)")
+def update_rewrites_files(spark, sf_dir):
+    """Of a load's files, only those with touched rows are written anew."""
+    c = new_store(spark)
+    ddl.create_table(c, "t", "o_orderkey bigint, o_totalprice double", ["o_orderkey"])
+    load.copy_to(c, attached(spark, sf_dir).table("orders").select("o_orderkey", "o_totalprice").repartitionByRange(4, "o_orderkey"), "t", flush_rows=0)
+    segment = c.meta("dbo", "t").segments[0]
+    names = c.store.data_files(segment)
+    dml.update(c, "t", {"o_totalprice": F.lit(0.0)}, f"o_orderkey = {c.table('t').agg(F.max('o_orderkey')).first()[0]}")
+    m = c.meta("dbo", "t")
+    left = set(names) - set(m.gone[segment])
+    read = {f.rsplit("/", 1)[1] for f in c.table("t").inputFiles()}
+    return c.table("t").agg(F.lit(len(m.gone[segment])).alias("rewritten"), F.lit(len(left)).alias("kept"), F.lit(left <= read).alias("same_names"), F.count("*").alias("rows"))
+
+
+@query(f"SELECT id, name, CASE WHEN bal < 0 THEN 0 ELSE bal END AS bal FROM ({_cust}) WHERE id % 7 <> 0")
+def vacuum(spark, sf_dir):
+    """After a vacuum the table is as before, and its old data gone."""
+    c = _customers(spark, sf_dir)
+    dml.update(c, "cust", {"bal": F.lit(0.0)}, "bal < 0")
+    dml.delete(c, "cust", "id % 7 = 0")
+    assert c.vacuum(older_than=0) > 0 and c.vacuum(older_than=0) == 0
+    return c.table("cust")
+
+
+@query("SELECT a.column_name, true AS same FROM (VALUES ('id'), ('name'), ('bal')) a(column_name)")
+def content_checksum(spark, sf_dir):
+    """Sums of hashes by column: a copy's are its source's, whatever the order of rows."""
+    c = _customers(spark, sf_dir)
+    load.copy_to(c, c.table("cust").repartition(3), "copy")
+    a, b = c.checksum("cust").alias("a"), c.checksum("copy").alias("b")
+    return a.join(b, F.col("a.column") == F.col("b.column")).select(F.col("a.column").alias("column_name"), (F.col("a.sum") == F.col("b.sum")).alias("same"))
+
+
+@query("SELECT p_partkey, 'string' AS t, chr(CAST(65 + p_partkey % 26 AS INTEGER)) AS c, CAST('p' AS BLOB) AS e, 36 AS u, year(DATE '2020-02-29') AS y FROM part")
+def fn_more_host_functions(spark, sf_dir):
+    return attached(spark, sf_dir).table("part").select("p_partkey", F.typeof("p_name").alias("t"), F.char((65 + F.col("p_partkey") % 26).cast("bigint")).alias("c"), F.encode(F.lit("p"), "UTF-8").alias("e"), F.length(F.uuid()).alias("u"), F.date_part(F.lit("year"), F.lit(dt.date(2020, 2, 29))).cast("bigint").alias("y"))
+
+
+# -- schemas, catalog, server
+
+
+@query("SELECT * FROM (VALUES ('dbo', 't'), ('s 2', 'x.y')) t(schema, name)")
+def schemas_and_tables(spark, sf_dir):
+    c = new_store(spark)
+    for s in ("s 2", "gone"):
+        ddl.create_schema(c, s)
+    for t in ("dbo.t", "[s 2].[x.y]", "gone.t", "dbo.gone"):
+        ddl.create_table(c, t, "a int")
+    ddl.drop_table(c, "gone")
+    ddl.drop_schema(c, "gone", cascade=True)
+    return c.tables().select("schema", "name")
+
+
+@query("SELECT * FROM (VALUES ('after change', 'STALE'), ('after load', 'LOADED'), ('after refresh', 'LOADED'), ('at first', 'NOT_LOADED'), ('missing', 'LOADED')) t(moment, state)")
+def metadata_cache(spark, sf_dir):
+    """States of one table's metadata; that a table is missing is remembered as well."""
+    c = _customers(spark, sf_dir)
+    fresh, seen = Catalog(spark, "wh2", c.source, store=True, ttl=600), []
+    seen.append(("at first", fresh.state("cust")))
+    fresh.table("cust")
+    seen.append(("after load", fresh.state("cust")))
+    ddl.add_column(fresh, "cust", "x", "int")
+    seen.append(("after change", fresh.state("cust")))
+    fresh.refresh()
+    seen.append(("after refresh", fresh.state("cust")))
+    assert fresh.meta("dbo", "nothing") is None
+    seen.append(("missing", fresh.state("nothing")))
+    return _rows(spark, seen, "moment string, state string")
+
+
+@query("SELECT n_nationkey, n_name, n_regionkey * 10 AS r FROM nation WHERE n_regionkey >= 2")
+def server_scan(spark, sf_dir):
+    """A table on a live server (an embedded one), loaded over JDBC, scanned with the filter pushed there."""
+    c = _server(spark)
+    load.copy_to(c, attached(spark, sf_dir).table("nation"), "APP.nation")
+    df = c.scan("APP.nation", ["n_nationkey", "n_name", "n_regionkey"], node(">=", col("n_regionkey"), lit(2)))
+    assert "n_regionkey" in re.search(r"PushedFilters: \[.*?\]", df._jdf.queryExecution().executedPlan().toString())[0]
+    return df.select("n_nationkey", "n_name", (F.col("n_regionkey") * 10).alias("r"))
+
+
+@query("SELECT * FROM (VALUES ('APP', 'region', 'table', 'r_regionkey', 5)) t(schema, name, kind, key, rows)")
+def server_catalog(spark, sf_dir):
+    c = _server(spark, table_filter="^reg")
+    c.execute('CREATE TABLE APP."region" ("r_regionkey" INT NOT NULL PRIMARY KEY, "r_name" VARCHAR(30)); CREATE TABLE APP."other" (a INT)')
+    load.copy_to(c, attached(spark, sf_dir).table("region"), "APP.region", create_table=False)
+    t = c.tables().where("schema = 'APP'").select("schema", "name", "kind", "key")
+    return t.withColumn("rows", F.lit(c.rows("APP.region")).cast("int"))
+
+
+def _server(spark, **options) -> Catalog:
+    return Catalog(prepare(spark), "live", url=f"jdbc:derby:memory:d{uuid.uuid4().hex};create=true", **options)
+
+
 # -- transactions
 
 
+@query("SELECT * FROM (VALUES ('kept', 'a', 1), ('kept', 'b', 2)) t(name, v, k)")
+def txn_rollback_of_ddl(spark, sf_dir):
+    """Create, drop, rename and alter, rolled back: all is as it was."""
+    c = new_store(spark)
+    c.execute("CREATE TABLE kept (k INT PRIMARY KEY, v NVARCHAR(9)); INSERT INTO kept VALUES (1, 'a'), (2, 'b'); CREATE TABLE dropped (a INT)")
+    t = txn.begin(c)
+    c.execute("CREATE TABLE made (a INT); INSERT INTO made VALUES (1); DROP TABLE dropped; ALTER TABLE kept ADD x INT; INSERT INTO kept (k) VALUES (3); ALTER TABLE kept RENAME TO moved")
+    assert c.table_names() == ["made", "moved"] and c.table("moved").count() == 3
+    t.rollback()
+    assert c.table_names() == ["dropped", "kept"]
+    return c.table("kept").select(F.lit("kept").alias("name"), "v", "k")
+
+
+@query("SELECT * FROM (VALUES ('made', 1, 1), ('moved', 3, 2)) t(name, rows, columns)")
+def txn_commit_of_ddl(spark, sf_dir):
+    c = new_store(spark)
+    c.execute("CREATE TABLE kept (k INT PRIMARY KEY, v NVARCHAR(9)); INSERT INTO kept VALUES (1, 'a'), (2, 'b'); CREATE TABLE dropped (a INT)")
+    with txn.begin(c):
+        c.execute("CREATE TABLE made (a INT); INSERT INTO made VALUES (1); DROP TABLE dropped; INSERT INTO kept (k) VALUES (3); ALTER TABLE kept RENAME TO moved")
+    other = Catalog(spark, "other", c.source, store=True)
+    return _rows(spark, [(t, other.table(t).count(), len(other.table(t).columns)) for t in other.table_names()], "name string, rows int, columns int")
+
+
 def _transacted(spark, sf_dir, end: str):
     c = _customers(spark, sf_dir)
     t = txn.begin(c)

@@ -6,6 +6,7 @@ import re
 from urllib.parse import parse_qsl, unquote, urlsplit
 
 from ..errors import EngineError
+from ..settings import settings
 
 #: Names by which a field may be called.
 ALIASES = {
@@ -61,10 +62,10 @@ def merge(attach: dict, secret: dict | None = None, text: str | None = None) ->
 
 def jdbc(fields: dict, url: str = "jdbc:sqlserver://{host}:{port};databaseName={database}") -> tuple[str, dict[str, str]]:
     """URL and properties for spark.read.jdbc; url: the driver's own form."""
-    for need in ("host", "database"):
+    for need in [x for x in ("host", "database") if f"{{{x}}}" in url]:
         if not fields.get(need):
             raise EngineError(f"{need} is missing")
-    if not (fields.get("user") or fields.get("access_token") or fields.get("authenticator")):
+    if "{host}" in url and not (fields.get("user") or fields.get("access_token") or fields.get("authenticator")):
         raise EngineError("credentials are missing: user and password, access_token or authenticator")
     props = {k: str(fields[k]) for k in ("user", "password") if fields.get(k)}
     if fields.get("access_token"):
@@ -73,4 +74,6 @@ def jdbc(fields: dict, url: str = "jdbc:sqlserver://{host}:{port};databaseName={
         props["encrypt"] = str(_truth(str(fields["use_encrypt"]))).lower()
     if fields.get("application_name"):
         props["applicationName"] = fields["application_name"]
-    return url.format(host=fields["host"], port=fields.get("port", 1433), database=fields["database"]), props
+    if "sqlserver" in url:
+        props |= {"loginTimeout": str(settings["connection_timeout"]), "packetSize": str(min(settings["tds_packet_size"], 32767)), "sendStringParametersAsUnicode": "true"}
+    return url.format(**{"port": 1433, "host": "", "database": ""} | fields), props

@@ -8,19 +8,21 @@ from collections.abc import Iterator
 
 from pyspark.sql import DataFrame
 
+from ..settings import settings
+
 #: Rows of a chunk at most.
 CHUNK = 2048
 
 
 class Cursor:
-    """Reads df in chunks, one partition at a time on the driver; cancel(), close() or `timeout` seconds (0: none) stop its jobs."""
+    """Reads df in chunks, one partition at a time on the driver; cancel(), close() or `timeout` seconds (0: none; query_timeout where not given) stop its jobs."""
 
-    def __init__(self, df: DataFrame, chunk: int = CHUNK, timeout: float = 0):
-        self.df, self.chunk, self.tag, self.done, self.timeout = df, chunk, f"cursor-{uuid.uuid4().hex}", False, timeout
+    def __init__(self, df: DataFrame, chunk: int = CHUNK, timeout: float | None = None):
+        self.df, self.chunk, self.tag, self.done, self.timeout = df, chunk, f"cursor-{uuid.uuid4().hex}", False, settings["query_timeout"] if timeout is None else timeout
 
     def __iter__(self) -> Iterator[list]:
         spark = self.df.sparkSession
-        spark.addTag(self.tag)
+        spark.sparkContext.addJobTag(self.tag)
         timer = threading.Timer(self.timeout, self.cancel) if self.timeout else None
         if timer:
             timer.start()
@@ -38,11 +40,11 @@ class Cursor:
         finally:
             if timer:
                 timer.cancel()
-            spark.removeTag(self.tag)
+            spark.sparkContext.removeJobTag(self.tag)
 
     def cancel(self) -> None:
         self.done = True
-        self.df.sparkSession.interruptTag(self.tag)
+        self.df.sparkSession.sparkContext.cancelJobsWithTag(self.tag)
 
     def close(self) -> None:
         self.cancel()

@@ -67,7 +67,6 @@ def test_targets_and_policies():
     for bad in ("t", "c..t", "x://c//t", ""):
         with pytest.raises(Refused):
             load.target(bad)
-    assert [load.writers(0, 16, False, False), load.writers(0, 4, False, False), load.writers(12, 4, False, False), load.writers(4, 8, True, False), load.writers(4, 8, False, True)] == [8, 4, 12, 1, 1]
     assert load.table_lock("auto", "heap") and not load.table_lock("auto", "clustered") and load.table_lock("true", "columnstore")
 
 
@@ -110,10 +109,10 @@ def test_writes_touch_only_their_segments(spark):
     ddl.create_table(c, "t", "k int, v string", ["k"])
     for lo in (0, 10, 20):
         dml.insert(c, "t", spark.range(lo, lo + 10).select(F.col("id").cast("int"), F.lit("a")))
-    before = c.meta("dbo", "t").segments
+    files = lambda: {f for m in [c.meta("dbo", "t")] for s in m.segments for f in c.store.data_files(s) if f not in m.gone.get(s, ())}
+    before = files()
     assert dml.update(c, "t", {"v": F.lit("b")}, "k = 15") == 1
-    after = c.meta("dbo", "t").segments
-    assert len(set(before) & set(after)) == 2 and c.rows("t") == 30
+    assert len(before - files()) == 1 and c.rows("t") == 30
     assert dml.delete(c, "t", "k >= 25") == 5 and c.table("t").count() == c.rows("t") == 25
     assert dml.delete(c, "t", "k > 1000") == 0 and dml.update(c, "t", {"v": "upper(v)"}, "k IS NULL") == 0
     with pytest.raises(EngineError):
@@ -175,6 +174,114 @@ def test_transactions(spark):
     assert c.table("t").count() == 3
 
 
+def test_several_tables_commit_at_once(spark):
+    """Of two tables, a conflict in one leaves both; a reader sees neither before the commit."""
+    c = new_store(spark)
+    c.execute("CREATE TABLE a (k INT); CREATE TABLE b (k INT)")
+    other = catalog.Catalog(spark, "other", c.source, store=True)
+    t = txn.begin(c)
+    c.execute("INSERT INTO a VALUES (1); INSERT INTO b VALUES (1)")
+    other.execute("INSERT INTO b VALUES (2)")
+    with pytest.raises(Conflict):
+        t.commit()
+    assert (other.table("a").count(), other.table("b").count(), c.rows("a"), c.rows("b")) == (0, 1, 0, 1)
+    with txn.begin(c):
+        c.execute("INSERT INTO a VALUES (1); INSERT INTO b VALUES (1); CREATE SCHEMA s; CREATE TABLE s.t (x INT)")
+        assert other.table("a").count() == 0
+    assert (other.table("a").count(), other.table("b").count(), other.schemas()) == (1, 2, ["dbo", "s"])
+    with pytest.raises(ValueError), txn.begin(c):
+        c.execute("CREATE SCHEMA u; DROP SCHEMA s CASCADE")
+        assert c.schemas() == ["dbo", "u"]
+        raise ValueError
+    assert c.schemas() == ["dbo", "s"] and c.table("s.t").count() == 0
+    # what a writer that broke off has left behind doesn't count
+    m = c.store.current("dbo", "a")
+    c.store.publish("dbo", "a", type(m)(**vars(m) | {"rows": 99, "txn": "never"}), m.version)
+    assert catalog.Catalog(spark, "third", c.source, store=True).rows("a") == 1
+
+
+def test_drop_and_make_again(spark):
+    c = new_store(spark)
+    c.execute("CREATE TABLE t (a INT); INSERT INTO t VALUES (1); DROP TABLE t; CREATE TABLE t (b INT, c INT)")
+    assert c.table("t").columns == ["b", "c"] and c.table("t").count() == 0
+    load.copy_to(c, spark.sql("SELECT 1 AS x"), "t", replace_table=True)
+    load.create_table_as(c, "u", spark.sql("SELECT 2 AS y"))
+    c.execute("DROP TABLE u; ALTER TABLE t RENAME TO u; INSERT INTO u VALUES (3)")
+    assert sorted(r.x for r in c.table("u").collect()) == [1, 3] and c.table_names() == ["u"]
+    c.execute("UPDATE u SET x = 1") if c.key("u") else None
+    assert c.vacuum(older_than=0) > 0 and sorted(r.x for r in c.table("u").collect()) == [1, 3]
+
+
+def test_temporary_tables(spark):
+    c = new_store(spark)
+    name = "#t" + c.source[-8:]
+    assert load.copy_to(c, spark.sql("SELECT 1 AS a, 'x' AS b"), f"wh..{name}") == 1
+    assert load.copy_to(c, spark.sql("SELECT 'y' AS B, 2 AS A"), f"wh..{name}") == 1
+    assert sorted(map(tuple, c.table(f"[{name}]").collect())) == [(1, "x"), (2, "y")]
+    assert load.copy_to(c, spark.sql("SELECT 3 AS a"), f"wh..{name}", truncate=True) == 1 and c.table(f"[{name}]").count() == 1
+    ddl.drop_table(c, f"[{name}]")
+    assert not c.temporary and not c.views
+
+
+def test_settings_act(spark, sf):
+    from lakeferry.settings import settings
+
+    c = new_store(spark)
+    c.ttl = 600
+    c.execute("CREATE TABLE t (k INT PRIMARY KEY, v NVARCHAR(5))")
+    try:
+        c.refresh()
+        settings["exec_invalidate_cache"] = True
+        c.execute("CREATE TABLE u (k INT)")
+        assert c.state("t") == "STALE"
+        settings["enable_statistics"] = False
+        assert attached(spark, sf).rows("nation") is None
+        settings["catalog_native_types"] = False
+        assert [r.type for r in c.columns("t").orderBy("ordinal").collect()] == ["int", "string"]
+        settings["insert_use_returning_output"] = False
+        c.execute("INSERT INTO t VALUES (1, 'a')")
+        assert [tuple(r) for r in dml.insert(c, "t", spark.sql("SELECT 2, 'b'"), returning=True).collect()] == [(2, "b")]
+        settings["query_timeout"] = 1
+        slow = "SELECT 3, CAST(reflect('java.lang.Thread', 'sleep', CAST(4000 AS BIGINT)) AS STRING) FROM range(1)"
+        with pytest.raises(EngineError, match="query_timeout"):
+            c.execute(f"INSERT INTO t {slow}")
+        assert c.counters["timeouts"] == 1
+        settings["ctas_use_bcp"] = False
+        settings["ctas_drop_on_failure"] = True
+        with pytest.raises(Exception, match="no"):
+            load.create_table_as(c, "bad", spark.sql("SELECT raise_error('no') AS x"))
+        assert "bad" not in c.table_names()
+    finally:
+        for k in ("exec_invalidate_cache", "enable_statistics", "catalog_native_types", "insert_use_returning_output", "query_timeout", "ctas_use_bcp", "ctas_drop_on_failure"):
+            settings.reset(k)
+
+
+def test_a_live_server(spark):
+    """An embedded database stands for the server: attach, metadata, messages, errors with numbers, refusals."""
+    url = "jdbc:derby:memory:t1"
+    with pytest.raises(EngineError):
+        catalog.attach(spark, "nolive", url=url)
+    c = catalog.attach(spark, "live", url=url + ";create=true", user="u", password="p")
+    c.execute('CREATE TABLE APP.T (A INT NOT NULL, B VARCHAR(5) NOT NULL, C DECIMAL(9,2), PRIMARY KEY (B, A))')
+    assert c.execute("INSERT INTO APP.T VALUES (1, 'x', 2.5), (2, 'y', NULL)") == 2 and c.rows("APP.T") == 2
+    assert c.key("APP.T") == ["B", "A"] and c.query("SELECT A FROM APP.T WHERE C > 1").first()[0] == 1
+    assert [(r.name, r.remote_type, r.nullable) for r in c.columns("APP.T").orderBy("ordinal").collect()] == [("A", "int", False), ("B", "varchar(5)", False), ("C", "decimal(9,2)", True)]
+    assert c.table("APP.T", rowid=True).where("C is null").first().rowid == ("y", 2)
+    assert dml.insert(c, "APP.T", spark.sql("SELECT 3, 'z', CAST(1 AS DECIMAL(9,2))")) == 1 and load.copy_to(c, spark.sql("SELECT 4 AS a, 'w' AS b"), "APP.T") == 1
+    assert c.table("APP.T").count() == 4
+    c.execute("CREATE VIEW APP.V AS SELECT A FROM APP.T")
+    for f in (lambda: load.copy_to(c, spark.sql("SELECT 1 AS A"), "APP.V"), lambda: dml.insert(c, "APP.V", spark.sql("SELECT 1"))):
+        with pytest.raises(Refused):
+            f()
+    with pytest.raises(EngineError) as e:
+        c.execute("INSERT INTO APP.NOTHING VALUES (1)")
+    assert e.value.number and not e.value.fatal
+    c.execute("DELETE FROM APP.T WHERE A > 100")
+    assert any("No row" in m for m in c.server.messages)
+    assert c.statement("APP.T", ["A"]) == "SELECT [A] FROM [APP].[T]"
+    catalog.detach("live")
+
+
 def test_read_only_and_cache(spark, sf):
     ro = attached(spark, sf)
     for f in (lambda: ddl.create_schema(ro, "x"), lambda: ro.execute("DELETE FROM nation"), lambda: load.copy_to(ro, spark.range(1), "t")):
@@ -188,7 +295,7 @@ def test_read_only_and_cache(spark, sf):
     c.table("t")
     assert c.counters["cache_hits"] == n + 1
     c.invalidate("dbo", "t")
-    assert not c.cache and c.preload() == 1 and c.stats().count() == len(c.counters)
+    assert c.state("t") == "STALE" and c.preload() == 1 and c.state("t") == "LOADED" and c.stats().count() == len(c.counters) == 9
 
 
 def test_statistics_view_and_cursor(spark, sf):

@@ -59,7 +59,7 @@ def test_order_gates():
     assert plan([Key("d", function="year", nullable=False)], 1).order_by == "YEAR([d]) ASC"
     assert plan([Key("d", function="length")]).order_by == "" and plan([a], 1, enabled=False) == Push("", None, True)
     assert enabled(True, False) and enabled(False, True) and not enabled(False, False)
-    assert statement("dbo", "t", ["a"], "([a] > 1)", plan([a], 5)) == "SELECT TOP 5 [a] FROM [dbo].[t] WHERE ([a] > 1) ORDER BY [a] ASC"
+    assert statement("dbo", "t", ["[a]"], "([a] > 1)", plan([a], 5)) == "SELECT TOP 5 [a] FROM [dbo].[t] WHERE ([a] > 1) ORDER BY [a] ASC"
 
 
 def test_scans_push_filters_and_prune_columns(spark, sf):
@@ -68,3 +68,22 @@ def test_scans_push_filters_and_prune_columns(spark, sf):
     df = attached(spark, sf).scan("lineitem", ["l_orderkey"], node(">", col("l_quantity"), lit(49.0)))
     text = df._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThan(l_quantity,49.0)" in text and "l_extendedprice" not in text
+
+
+def test_text_that_nothing_may_touch():
+    """Tables are renamed in table positions alone."""
+    from lakeferry.errors import Refused
+    from lakeferry.plans.dialect import spark_sql, split
+
+    said = lambda q: " ".join(spark_sql(q, lambda p: "v_" + "_".join(p)).split())
+    assert said("SELECT 'from a, b' FROM a") == "SELECT 'from a, b' FROM `v_a` AS `a`"
+    assert said("SELECT x FROM [a b].[c]]d] AS q -- FROM z") == "SELECT x FROM `v_a b_c]d` AS q -- FROM z"
+    assert said("SELECT a[0], b['k'], [c], (d)[1] FROM t") == "SELECT a[0], b['k'], `c`, (d)[1] FROM `v_t` AS `t`"
+    assert said("WITH t AS (SELECT 1 AS x) SELECT * FROM t, dbo.t u") == "WITH t AS (SELECT 1 AS x) SELECT * FROM t, `v_dbo_t` u"
+    assert said("SELECT trim(BOTH 'x' FROM y), extract(DAY FROM z) FROM range(3)") == "SELECT trim(BOTH 'x' FROM y), extract(DAY FROM z) FROM range(3)"
+    assert said("SELECT TOP 3 a FROM t ORDER BY (SELECT TOP 1 b FROM u)") == "SELECT a FROM `v_t` AS `t` ORDER BY (SELECT b FROM `v_u` AS `u` LIMIT 1 ) LIMIT 3"
+    assert said("SELECT a FROM t WHERE b LIKE 'x[%]y\\z' AND c LIKE N'[^a]_'") == r"SELECT a FROM `v_t` AS `t` WHERE b LIKE 'x\\%y\\\\z' AND c RLIKE '\\A[^a](?s:.)\\z'"
+    assert split("SELECT ';' AS [a;b]; -- x;y\nSELECT 2") == ["SELECT ';' AS [a;b]", "SELECT 2"]
+    for bad in ("SELECT 'x", "SELECT [a", "SELECT TOP 3 WITH TIES a FROM t"):
+        with pytest.raises(Refused):
+            spark_sql(bad)

@@ -70,7 +70,8 @@ def test_scan_statement(spark, sf):
 
     c = attached(spark, sf, order_pushdown=True)
     where = node("and", node(">", col("a"), lit(1)), node("=", node("fn", "length", col("s")), lit(2)))
-    assert c.statement("t", ["a"], where, [Key("a", nullable=False)], 5) == "SELECT TOP 5 [a] FROM [dbo].[t] WHERE ([a] > 1) ORDER BY [a] ASC"
+    assert c.statement("t", ["a"], where, [Key("a", nullable=False)], 5) == "SELECT [a] FROM [dbo].[t] WHERE ([a] > 1) ORDER BY [a] ASC"  # a limit before the rest of the filter would lose rows
+    assert c.statement("t", ["a"], where.args[0], [Key("a", nullable=False)], 5) == "SELECT TOP 5 [a] FROM [dbo].[t] WHERE ([a] > 1) ORDER BY [a] ASC"
     assert "ORDER" not in attached(spark, sf).statement("t", ["a"], order=[Key("a")], limit=5)
 
 
@@ -87,3 +88,6 @@ def test_physical_and_timeout(spark):
     assert sum(map(len, cursor)) == 5
     cursor.cancel()
     assert list(Cursor(spark.range(0))) == []
+    slow = spark.range(1).selectExpr("reflect('java.lang.Thread', 'sleep', CAST(5000 AS BIGINT)) AS x")
+    with pytest.raises(Exception, match="cancel"):
+        list(Cursor(slow, timeout=1))
