@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import huffman
-from .common import remove, work_dir
+from .common import remove, trim, work_dir
 
 BLOCK = 1 << 19
 END = 2
@@ -50,6 +50,7 @@ def _tokenised(docs: DataFrame, path: str, end: int, size: int, cache: int) -> D
                 arrays = [pa.array(np.full(len(n), part, np.int32)), pa.array(at + to - n), piece.column(0), pa.array(n), ids]
                 yield pa.RecordBatch.from_arrays(arrays, names)
                 at += int(to[-1])
+        trim()
         kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
         yield pa.RecordBatch.from_arrays([pa.array([x], k) for x, k in zip((-1, 0, None, 0, zlib.compress(counts.tobytes(), 1)), kinds, strict=True)], names)
 

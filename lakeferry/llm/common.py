@@ -76,6 +76,19 @@ def small(df: DataFrame) -> DataFrame:
     return F.broadcast(kept) if kept.count() <= BROADCAST_ROWS else kept
 
 
+def trim() -> None:
+    """Gives back what a Python worker holds and doesn't use, at the end of a task: workers live on, and share an executor's memory."""
+    import ctypes
+
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 def file_system(uri: str):
     """(pyarrow filesystem, path) of a URI in the shared folder; for use on executors."""
     from pyarrow import fs

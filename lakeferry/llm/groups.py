@@ -34,7 +34,8 @@ def keep_first(docs: DataFrame, rows: DataFrame) -> DataFrame:
     """
     known = cut(rows.groupBy("root", "doc_id", "h").agg(F.count("*").alias("n")))
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h")
-    first = known.groupBy("root").agg(F.min(place).alias("first"))
+    first = known.groupBy("root").agg(F.min(place).alias("first"), F.count("*").alias("k"), F.max("n").alias("most"))
+    first = small(first.where("k > 1 OR most > 1").select("root", "first"))
     ids = known.join(first, "root").withColumn("stays", place.eqNullSafe(F.col("first"))).where("n > 1 OR NOT stays")
     ids = cut(ids.select("stays", "n", F.col("doc_id").alias("_keep"), F.col("h").alias("_keep_h")))
     h = F.xxhash64(F.col("text").cast("string"))

@@ -24,7 +24,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import held_out, prepare, sampled
+from .common import held_out, prepare, sampled, trim
 
 BITS = 18
 SAMPLE = 4000
@@ -233,6 +233,7 @@ def accepted(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -
             texts = (str(t.as_py() or "").encode("utf-8", "replace") for t in batch.column(at))
             keep = [noisy_or(sentence_logits(words, w, t)[0] + bias) < threshold for t in texts]
             yield batch.filter(pa.array(keep, pa.bool_()))
+        trim()
 
     prepare(docs.sparkSession)
     return docs.mapInArrow(run, docs.schema)
