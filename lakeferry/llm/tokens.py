@@ -65,20 +65,26 @@ class Encoder:
             core = key.decode()
             if not core.isalpha():
                 odd.append(p)
-                continue
-            if not core.isascii() and (max(core) >= "\u0250" or "\u0130" in core):
+            elif core.isascii():  # lower-cased already, unless the batch holds a special token's string
+                low = core.lower()
+                key = key if low == core else low.encode()
+                if key != p:
+                    alias.append((p, key))
+                if key not in known:
+                    plain.add(low)
+            elif max(core) >= "\u0250" or "\u0130" in core:
                 # its normal form may end in a mark, which a stop would join
                 if key is p:
                     cores.add(core)
                 else:
                     odd.append(p)
-                continue
-            low = core.lower()
-            key = low.encode()
-            if key != p:
-                alias.append((p, key))
-            if key not in known:
-                plain.add(low)
+            else:
+                low = core.lower()
+                key = low.encode()
+                if key != p:
+                    alias.append((p, key))
+                if key not in known:
+                    plain.add(low)
         if alias:
             odd += [x for x in (b".", b",") if x not in known]
         for words, tokenizer in ((plain, self.plain), (cores, self.tokenizer)):
@@ -141,14 +147,17 @@ class Encoder:
         if len(self.words) + len(unique) > self.cache + 1:  # what this batch needs stays, and with it all that is frequent
             self.words = {b"": b""} | {w: self.words[w] for w in unique if w in self.words}
         known = self.words
-        new = [w for w in unique if w not in known]
-        if new:
+        data = list(map(known.get, unique))
+        missing = [i for i, ids in enumerate(data) if ids is None]
+        if missing:
+            new = [unique[i] for i in missing]
             self._learn(new)
-        data = [known[w] for w in unique]
-        for w in new:
-            if len(w) > LONG:
-                known.pop(w, None)
-                known.pop(w.rstrip(b".,"), None)
+            for i, w in zip(missing, new, strict=True):
+                data[i] = known[w]
+            for w in new:
+                if len(w) > LONG:
+                    known.pop(w, None)
+                    known.pop(w.rstrip(b".,"), None)
         size = np.fromiter(map(len, data), np.int32, len(data)) // self.dtype.itemsize
         pool = np.frombuffer(b"".join(data), self.dtype)
         n = size[index]
