@@ -4,11 +4,12 @@ A document's size is its number of words (runs of anything but space and \\x09-\
 null last, weigh by `weights` in rotation and share `total` times all words; a target
 stops at `most` times its source's size and what it leaves is shared again by
 weight. That fixed point is target = min(most * size, level * weight) for one level, which
-window sums over the sources give at once.
+prefix sums over the sources, in the order in which they are full, give at once. More than RANGE_ROWS sources are
+cut into ranges for that; so no task holds all of them.
 
 Each source's documents get a hash-random key. Keys are cut into ranges small enough for one
 task each (a source with a third of all rows has a third of all ranges); sums
-by range, then a window inside each range, give every document the words before it in its
+by range, themselves summed by groups of ranges, then a window inside each range, give every document the words before it in its
 source. A budget of b words takes each document b div size-of-source times and, of one further
 epoch, what lies before the remainder; the document at the cut counts in part.
 
@@ -45,19 +46,46 @@ def _key(docs: DataFrame) -> Column:
     return F.conv(F.substring(F.md5(whole.cast("binary")), 1, KEY_BITS // 4), 16, 10).cast("bigint")
 
 
+def _before(rows: DataFrame, by: list[Column], **sums: Column) -> DataFrame:
+    """rows with the sum of each of `sums` over the rows that come before, in the order of `by`; many rows are cut into ranges first."""
+    part = Window.partitionBy("_part").orderBy(*by).rowsBetween(Window.unboundedPreceding, -1)
+    here = {c: F.coalesce(F.sum(v).over(part), F.lit(0)) for c, v in sums.items()}
+    if rows.count() <= RANGE_ROWS:
+        return rows.withColumn("_part", F.lit(0)).withColumns(here).drop("_part")
+    rows = cut(rows.repartitionByRange(*by).withColumn("_part", F.spark_partition_id()))
+    until = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # one row a range
+    ahead = rows.groupBy("_part").agg(*[F.sum(v).alias(f"_{c}") for c, v in sums.items()])
+    ahead = ahead.select("_part", *[F.coalesce(F.sum(f"_{c}").over(until), F.lit(0)).alias(f"_{c}") for c in sums])
+    rows = rows.withColumns(here).join(F.broadcast(ahead), "_part")
+    return rows.withColumns({c: F.col(c) + F.col(f"_{c}") for c in sums}).drop("_part", *[f"_{c}" for c in sums])
+
+
 def targets(sizes: DataFrame, weights=WEIGHTS, total: float = TOTAL, most: float = MOST) -> DataFrame:
     """source, source_size, target of (source, source_size): one row for each source."""
-    order = Window.orderBy(F.col("source").asc_nulls_last())
-    w = F.array(*map(F.lit, weights))[((F.row_number().over(order) - 1) % len(weights)).cast("int")].cast("double")
-    s = sizes.withColumn("w", w).withColumn("cap", F.col("source_size") * F.lit(float(most)))
+    by_name = F.col("source").asc_nulls_last()
+    s = _before(sizes, [by_name], nth=F.lit(1))
+    w = F.array(*map(F.lit, weights))[(F.col("nth") % len(weights)).cast("int")].cast("double")
+    s = cut(s.withColumn("w", w).withColumn("cap", F.col("source_size") * F.lit(float(most))))
+    words, weight = s.agg(F.sum("source_size"), F.sum("w")).first()
+    if words is None:
+        return s.select("source", "source_size", F.col("cap").alias("target"))
     # sources by how soon they are full; the level is that of the first which it leaves room in, the greatest such
-    full = Window.orderBy(F.col("cap") / F.col("w"), F.col("source").asc_nulls_last())
-    all_ = Window.partitionBy()
-    before = F.coalesce(F.sum("cap").over(full.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
-    weight = F.sum("w").over(full.rowsBetween(0, Window.unboundedFollowing))
-    s = s.withColumn("level", (F.sum("source_size").over(all_) * F.lit(float(total)) - before) / weight)
-    s = s.withColumn("level", F.max(F.when(F.col("level") <= F.col("cap") / F.col("w"), F.col("level"))).over(all_))
-    return s.select("source", "source_size", F.coalesce(F.least("cap", F.col("level") * F.col("w")), F.col("cap")).alias("target"))
+    s = _before(s, [F.col("cap") / F.col("w"), by_name], full=F.col("cap"), passed=F.col("w"))
+    s = cut(s.withColumn("level", (F.lit(float(words * total)) - F.col("full")) / (F.lit(weight) - F.col("passed"))))
+    level = s.agg(F.max(F.when(F.col("level") <= F.col("cap") / F.col("w"), F.col("level")))).first()[0]
+    target = F.col("cap") if level is None else F.least("cap", F.lit(level) * F.col("w"))
+    return s.select("source", "source_size", target.alias("target"))
+
+
+def _ranges_before(sums: DataFrame, bits: int) -> DataFrame:
+    """source, range, range_before (words of the source's ranges before it) of (source, range, words): sums of sums, as a source may have millions of ranges."""
+    sums = sums.withColumn("far", F.shiftright("range", bits // 2))
+    until = lambda *by: Window.partitionBy(*by[:-1]).orderBy(by[-1]).rowsBetween(Window.unboundedPreceding, -1)
+    ahead = lambda *by: F.coalesce(F.sum("words").over(until(*by)), F.lit(0))
+    fars = sums.groupBy("source", "far").agg(F.sum("words").alias("words")).select(F.col("source").alias("_s"), F.col("far").alias("_f"), ahead("source", "far").alias("far_before"))
+    near = sums.withColumn("near_before", ahead("source", "far", "range"))
+    near = near.join(small(fars), near["source"].eqNullSafe(F.col("_s")) & (F.col("far") == F.col("_f")))
+    return near.select("source", "range", (F.col("far_before") + F.col("near_before")).alias("range_before"))
 
 
 def plan(docs: DataFrame, weights=WEIGHTS, total: float = TOTAL, most: float = MOST) -> DataFrame:
@@ -67,9 +95,8 @@ def plan(docs: DataFrame, weights=WEIGHTS, total: float = TOTAL, most: float = M
     bits = min(40, (ranges - 1).bit_length() + 6)  # ranges of even a lone source come out small
     base = base.withColumn("range", F.shiftright("key", KEY_BITS - bits))
     sums = cut(base.groupBy("source", "range").agg(F.sum("size").alias("words")))
-    sources = cut(targets(sums.groupBy("source").agg(F.sum("words").alias("source_size")), weights, total, most))
-    ahead = Window.partitionBy("source").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
-    sums = sums.select("source", "range", F.coalesce(F.sum("words").over(ahead), F.lit(0)).alias("range_before"))
+    sources = small(targets(cut(sums.groupBy("source").agg(F.sum("words").alias("source_size"))), weights, total, most))
+    sums = _ranges_before(sums, bits)
     within = Window.partitionBy("source", "range").orderBy("key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
     same = lambda a, b: a["source"].eqNullSafe(b["source"])
     rows = base.where("size > 0").withColumn("before", F.coalesce(F.sum("size").over(within), F.lit(0)))

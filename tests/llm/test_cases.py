@@ -339,6 +339,19 @@ def test_mixing_odd_rows(odd_docs, no_docs):
     assert mixing.plan(no_docs).count() == 0 and mixing.mixed(no_docs).count() == 0
 
 
+def test_mixing_of_many_sources(spark, monkeypatch):
+    sizes = spark.range(500).select(F.when(F.col("id") > 0, F.concat(F.lit("s"), F.col("id"))).alias("source"), (F.col("id") * 37 % 101).alias("source_size"))
+    a = sorted(mixing.targets(sizes).collect(), key=str)
+    monkeypatch.setattr(mixing, "RANGE_ROWS", 3)
+    assert a == sorted(mixing.targets(sizes.repartition(5)).collect(), key=str)
+    assert abs(sum(r.target for r in a) - 1.5 * sum(r.source_size for r in a)) < 1e-6 and all(r.target <= 2 * r.source_size for r in a)
+    # by hand: raise one level until the words are shared out
+    names = sorted((r.source for r in a if r.source is not None)) + [None]
+    weight = {n: (5, 2, 1)[i % 3] for i, n in enumerate(names)}
+    level = max(r.target / weight[r.source] for r in a)
+    assert all(abs(r.target - min(2 * r.source_size, level * weight[r.source])) < 1e-6 for r in a)
+
+
 def test_mixing_ranges_don_t_matter(spark, monkeypatch):
     docs = spark.range(500).select("id", F.concat(F.lit("s"), F.col("id") % 3).alias("source"), F.repeat(F.lit("w "), (F.col("id") % 7).cast("int")).alias("text")).withColumnRenamed("id", "doc_id")
     a = sorted(mixing.plan(docs).collect())
