@@ -256,6 +256,11 @@ class Catalog:
 
     def table(self, name: str, rowid: bool = False) -> DataFrame:
         """A table or view; rowid: with its primary key as a column `rowid`, a struct if it has several columns."""
+        df, live = self._lazy(name, rowid)
+        return self.server.here(df) if live else df
+
+    def _lazy(self, name: str, rowid: bool = False) -> tuple[DataFrame, bool]:
+        """table(), and whether it reads a server's table, whose rows may have to come by way of the driver."""
         schema, table = self.resolve(name)
         self.counters["scans"] += 1
         if self.discovers and not self.visible.sees(schema, table):
@@ -263,7 +268,7 @@ class Catalog:
         if table in self.views or ((m := self.meta(schema, table)) and m.sql):
             if rowid:
                 raise Refused(f"{name} is a view and has no rowid")
-            return self.views[table](self) if table in self.views else self.query(m.sql)
+            return (self.views[table](self) if table in self.views else self.query(m.sql)), False
         if self.server:
             if table not in self.server.tables(schema):
                 raise NotFound(f"no table {name} in catalog {self.name}")
@@ -283,7 +288,7 @@ class Catalog:
         for f in df.schema.fields:
             if (collation := f.metadata.get("collation")) and spark_name(collation) != "UTF8_BINARY":
                 df = df.withColumn(f.name, F.collate(F.col(f"`{f.name}`"), spark_name(collation)).alias(f.name, metadata=f.metadata))
-        return df.withColumn("rowid", self.rowid(name)) if rowid else df
+        return (df.withColumn("rowid", self.rowid(name)) if rowid else df), self.server is not None
 
     def rowid(self, name: str) -> Column:
         key = self.key(name)
@@ -293,7 +298,7 @@ class Catalog:
 
     def scan(self, name: str, columns: list[str] | None = None, where: predicates.Node | None = None, order: list[ordering.Key] | None = None, limit: int | None = None) -> DataFrame:
         """A scan as a server would be asked for it, and what that leaves to do here: `statement`'s text is run, then the rest of the filter, the sort and the limit."""
-        df = self.table(name)
+        df, live = self._lazy(name)
         columns = columns or df.columns
         _, rest = predicates.encode(where)
         push = self._push(order, limit, rest)
@@ -304,6 +309,8 @@ class Catalog:
             needed |= dict.fromkeys(k.column for k in order or [])
         if self.server:  # a live one gets what Spark's own pushdown sends
             out = df.where(predicates.column(where)) if where is not None else df
+            if live:
+                out = self.server.here(out if order else out.select(*[f"`{c}`" for c in columns]))
         else:
             out = self.query(self.statement(name, list(needed), where, order, limit))
             for p in rest:

@@ -1,14 +1,22 @@
 """A live server behind JDBC: its metadata, scans that Spark pushes filters, projections and top-n into, statements and their messages.
 
 Any JDBC driver on the session's class path will do; `url` is its form of an address (fields in braces), by default that of the T-SQL server.
+
+An embedded database lives in the driver's process, and executors elsewhere can't reach it. There, rows go by way of the driver, CHUNK at a time:
+a read is done when it is asked for, with the filters and columns that Spark pushes, and is a copy from then on; a load is computed by
+the executors into the shared folder, and written from there.
 """
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+
 from pyspark.sql import DataFrame, SparkSession
 
 from ..errors import EngineError
 from ..functions.literals import literal
+from ..session import Files, fresh_dir
 from ..settings import settings
 from . import connection
 from .visibility import to_sql
@@ -16,6 +24,10 @@ from .visibility import to_sql
 #: Other names of types in JDBC's metadata.
 _TYPES = {"integer": "int", "double": "float", "double precision": "float", "boolean": "bit", "character": "char", "timestamp": "datetime2", "clob": "ntext", "blob": "image", "long varchar": "ntext"}
 _SYSTEM = ("sys", "information_schema", "guest")
+#: Databases in the process that opens them, as their addresses tell.
+_EMBEDDED = re.compile(r"jdbc:(derby:(?!//)|h2:(?!tcp:|ssl:)|hsqldb:(?!hsqls?:|https?:)|sqlite:|duckdb:)", re.I)
+#: Rows that the driver holds at once on their way from or to such a database.
+CHUNK = 10_000
 
 
 class Server:
@@ -24,6 +36,10 @@ class Server:
         self.url, self.props = connection.jdbc(fields, url) if url else connection.jdbc(fields)
         #: Texts that statements have printed, and warnings; kept, never shown.
         self.messages: list[str] = []
+        #: Whether rows must go by way of the driver.
+        self.inside = bool(_EMBEDDED.match(self.url)) and spark.sparkContext.master.split("[")[0] != "local"
+        #: Plan of the last read done that way.
+        self.scanned = ""
 
     def _connect(self):
         props = self.spark._jvm.java.util.Properties()
@@ -105,7 +121,7 @@ class Server:
         return reader.option("pushDownLimit", "true").option("pushDownOffset", "true").option("pushDownAggregate", "true")
 
     def table(self, schema: str, name: str, split_by: str | None = None, bounds: tuple[int, int] | None = None, parts: int = 16) -> DataFrame:
-        """split_by: a numeric column whose range `bounds` is read by `parts` tasks at once, connection_limit at most."""
+        """Lazy, so for `here`. split_by: a numeric column whose range `bounds` is read by `parts` tasks at once, connection_limit at most."""
         reader = self._reader().option("dbtable", self.named(schema, name))
         if split_by and bounds:
             parts = min(parts, settings["connection_limit"] or parts)
@@ -114,7 +130,41 @@ class Server:
 
     def query(self, sql: str) -> DataFrame:
         """A statement run as it stands; its columns come from the server's description of the result."""
-        return self._told(lambda: self._reader().option("query", sql).load())
+        return self.here(self._told(lambda: self._reader().option("query", sql).load()))
+
+    def here(self, df: DataFrame) -> DataFrame:
+        """df, of this server's tables and without a shuffle; where executors can't compute it, a copy: in the plan, or if it is long, in the shared folder."""
+        if not self.inside:
+            return df
+        execution, schema = df._jdf.queryExecution(), df._jdf.schema()
+        self.scanned = execution.executedPlan().toString()
+        local = lambda rows: DataFrame(self.spark._jsparkSession.createDataFrame(rows, schema), self.spark)
+        chunks = self._computed(execution.toRdd(), schema)
+        first, more = next(chunks, self.spark._jvm.java.util.ArrayList()), next(chunks, None)
+        if more is None:
+            return local(first)
+        folder = fresh_dir(self.spark, "scan")
+        names = [f"c{i}" for i in range(len(df.columns))]  # whatever the columns' names are
+        for rows in (first, more):
+            local(rows).toDF(*names).write.mode("append").parquet(folder)
+        for rows in chunks:
+            local(rows).toDF(*names).write.mode("append").parquet(folder)
+        copy = self.spark.read.schema(local(first).toDF(*names).schema).parquet(folder)
+        return copy.toDF(*df.columns)
+
+    def _computed(self, rdd, schema) -> Iterator:
+        """Lists of an RDD's rows, computed in this process."""
+        jvm = self.spark._jvm
+        context_of = getattr(getattr(jvm.org.apache.spark, "TaskContext$"), "MODULE$")
+        as_row = jvm.org.apache.spark.sql.catalyst.CatalystTypeConverters.createToScalaConverter(schema)
+        for part in rdd.partitions():
+            context = context_of.empty()
+            try:
+                groups = self._told(lambda part=part, context=context: rdd.iterator(part, context)).map(as_row).grouped(CHUNK)
+                while self._told(groups.hasNext):
+                    yield jvm.scala.jdk.javaapi.CollectionConverters.asJava(groups.next())
+            finally:
+                context.markTaskCompleted(jvm.scala.Option.empty())  # closes the connection
 
     def execute(self, sql: str) -> int:
         """Rows changed; what the server prints goes to `messages`."""
@@ -133,5 +183,40 @@ class Server:
 
     def write(self, df: DataFrame, schema: str, name: str, mode: str = "append", batch: int = 102_400, truncate: bool = False) -> None:
         """Each partition by a connection of its own, connection_limit at once."""
-        out = df.write.format("jdbc").options(**self.props).option("url", self.url).option("dbtable", self.named(schema, name)).option("batchsize", batch or 102_400)
-        out.option("numPartitions", settings["connection_limit"] or 64).option("truncate", truncate).mode(mode).save()
+        options = self.props | {"url": self.url, "dbtable": self.named(schema, name), "batchsize": str(batch or 102_400)}
+        options |= {"numPartitions": str(settings["connection_limit"] or 64), "truncate": str(truncate).lower()}
+        save = lambda rows: rows.write.format("jdbc").options(**options).mode(mode).save()
+        if not self.inside:
+            return save(df)
+        folder, names = fresh_dir(self.spark, "load"), [f"c{i}" for i in range(len(df.columns))]
+        files = Files(self.spark)
+        try:
+            df.toDF(*names).write.option("maxRecordsPerFile", CHUNK).parquet(folder)
+            save(df.limit(0))  # makes, empties or drops the table as mode says
+            staged = self.spark.read.schema(df.toDF(*names).schema)
+            for file in files.names(folder):
+                if file.endswith(".parquet"):
+                    self._insert(staged.parquet(f"{folder}/{file}"), df, options)
+        finally:
+            files.delete(folder)
+
+    def _insert(self, rows: DataFrame, like: DataFrame, options: dict[str, str]) -> None:
+        """A few rows, written by this process as Spark's tasks would; like: their names and types."""
+        jvm = self.spark._jvm
+        utils = jvm.org.apache.spark.sql.execution.datasources.jdbc
+        said = utils.JdbcOptionsInWrite(jvm.org.apache.spark.api.python.PythonUtils.toScalaMap(options))
+        dialect, types = jvm.org.apache.spark.sql.jdbc.JdbcDialects.get(self.url), like._jdf.schema()
+        con = self._connect()
+        try:
+            there = utils.JdbcUtils.getSchemaOption(con, said)
+        finally:
+            con.close()
+        cases = self.spark.conf.get("spark.sql.caseSensitive") == "true"
+        insert = utils.JdbcUtils.getInsertStatement(options["dbtable"], types, there, cases, dialect)
+        held = jvm.scala.jdk.javaapi.CollectionConverters.asScala(rows._jdf.collectAsList().iterator())
+        context_of = getattr(getattr(jvm.org.apache.spark, "TaskContext$"), "MODULE$")
+        context_of.setTaskContext(context_of.empty())  # where the writer counts its rows
+        try:
+            self._told(lambda: utils.JdbcUtils.savePartition(options["dbtable"], held, types, insert, int(options["batchsize"]), dialect, said.isolationLevel(), said))
+        finally:
+            context_of.unset()
