@@ -55,3 +55,18 @@ def test_server_catalog(cluster):
         pass
     assert not [x for x in os.listdir(sys.argv[1]) if x.startswith("load-")]
     """)
+
+
+def test_server_scan(cluster):
+    """The query's rows; filters and columns reach the database, whatever is sorted and cut here."""
+    cluster("""
+    got = __spark_entry__.queries()["server_scan"](spark, SF).collect()
+    assert sorted(tuple(r) for r in got) == sorted(tuple(r) for r in attached(spark, SF).table("nation").where("n_regionkey >= 2").selectExpr("n_nationkey", "n_name", "n_regionkey * 10").collect())
+    c = _server(spark)
+    load.copy_to(c, spark.range(25_000).selectExpr("id", "-id AS n", "'x' AS t"), "APP.x")
+    df = c.scan("APP.x", ["t", "id"], node(">=", col("id"), lit(13_000)))
+    assert "GreaterThanOrEqual(id,13000)" in c.server.scanned and "n#" not in c.server.scanned, c.server.scanned
+    assert df.columns == ["t", "id"] and df.count() == 12_000 == df.distinct().count()
+    assert c.scan("APP.x", ["id"], node("<", col("id"), lit(90)), [Key("n")], 2).collect() == [(89,), (88,)]
+    assert c.scan("APP.x", ["id"], node("=", col("id"), lit(-1))).collect() == []
+    """)
