@@ -20,6 +20,8 @@ pairs that don't link. Crowds that are left are compared with HUBS of their sets
 needs no more pairs, so the rest is compared only across components, all but the largest with all. That last step grows with the square of a
 crowd only if most of its sets nearly link, and to no common one.
 
+What simhash's fingerprints have found comes first, as `near`: no pair within a class of these is looked at again.
+
 Cases: as groups.keep_first. Null text = empty.
 """
 
@@ -28,7 +30,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut, prepare, small, trim
+from .common import cut, small, trim
 from .groups import components
 
 WIDTH = 5
@@ -59,8 +61,8 @@ def shingles(text: str | None, width: int = WIDTH):
     return np.unique(out)
 
 
-def hashes(docs: DataFrame) -> DataFrame:
-    """doc_id, h (the text's hash), g (the set's) of every row."""
+def hashes(docs: DataFrame, digest) -> DataFrame:
+    """doc_id, h (the text's hash), g (the set's), fp (its fingerprint by digest) of every row."""
 
     def run(batches):
         import numpy as np
@@ -68,11 +70,21 @@ def hashes(docs: DataFrame) -> DataFrame:
         import xxhash
 
         for batch in batches:
-            g = np.array([xxhash.xxh64_intdigest(shingles(t.as_py()).tobytes()) for t in batch.column(2)], np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(g.view(np.int64))], ["doc_id", "h", "g"])
+            g, fp = [], []
+            for t in batch.column(2):
+                s = shingles(t.as_py())
+                g.append(xxhash.xxh64_intdigest(s.tobytes()))
+                fp.append(digest(s))
+            g, fp = (pa.array(np.array(x, np.uint64).view(np.int64)) for x in (g, fp))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), g, fp], ["doc_id", "h", "g", "fp"])
         trim()
 
-    return _texts(docs).mapInArrow(run, "doc_id bigint, h bigint, g bigint")
+    return _texts(docs).mapInArrow(run, "doc_id bigint, h bigint, g bigint, fp bigint")
+
+
+def distinct(rows: DataFrame) -> DataFrame:
+    """Of `hashes`, one row of each set: g, doc_id, h, fp."""
+    return cut(rows.groupBy("g").agg(F.min(F.struct("doc_id", "h", "fp")).alias("r")).select("g", "r.*"))
 
 
 def prefixes(texts: DataFrame, common=None) -> DataFrame:
@@ -159,7 +171,7 @@ def _ends(docs: DataFrame, reps: DataFrame, pairs: DataFrame, kind: str) -> Data
     return pairs.join(left, "u").join(right, "v").select("u", "v", "nu", "nv", "a", "b")
 
 
-def _linked(docs: DataFrame, reps: DataFrame, pairs: DataFrame) -> DataFrame:
+def linked(docs: DataFrame, reps: DataFrame, pairs: DataFrame) -> DataFrame:
     """The pairs (u, v) whose sets link."""
     num, den = SIMILAR
 
@@ -179,21 +191,23 @@ def _linked(docs: DataFrame, reps: DataFrame, pairs: DataFrame) -> DataFrame:
 
 
 def _pairs(left: DataFrame, right: DataFrame, also) -> DataFrame:
-    """(u, v) of sets that share a key and may link, by their sizes and what follows the key in both."""
+    """(u, v) of sets that share a key, are in no class together yet and may link, by their sizes and what follows the key in both."""
     num, den = SIMILAR
     a, b = left.alias("a"), right.alias("b")
     size = den * F.least("a.n", "b.n") >= num * F.greatest("a.n", "b.n")
     rest = (num + den) * F.least(F.col("a.n") - F.col("a.pos"), F.col("b.n") - F.col("b.pos")) >= num * (F.col("a.n") + F.col("b.n"))
-    return a.join(b, (F.col("a.key") == F.col("b.key")) & also & size & rest).select(F.least("a.g", "b.g").alias("u"), F.greatest("a.g", "b.g").alias("v"))
+    return a.join(b, (F.col("a.key") == F.col("b.key")) & also & (F.col("a.root") != F.col("b.root")) & size & rest).select(F.least("a.g", "b.g").alias("u"), F.greatest("a.g", "b.g").alias("v"))
+
+
+def _rooted(keyed: DataFrame, roots: DataFrame) -> DataFrame:
+    """keyed with root, the class of g as far as it is known."""
+    return keyed.join(roots.withColumnRenamed("node", "g"), "g", "left").withColumn("root", F.coalesce("root", "g"))
 
 
-def links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, h, g) of every row, and pairs (u, v) of g that link: of crowds not all, but enough to connect the same."""
+def links(docs: DataFrame, rows: DataFrame, reps: DataFrame, near: DataFrame) -> DataFrame:
+    """Pairs (u, v) of g that link, those of near among them: not all, but enough to connect the same."""
     import numpy as np
 
-    prepare(docs.sparkSession)
-    rows = cut(hashes(docs))
-    reps = cut(rows.groupBy("g").agg(F.min(F.struct("doc_id", "h")).alias("r")).select("g", "r.*"))
     copies = rows.join(reps.select("g", F.struct("doc_id", "h").alias("r")), "g").where(~F.struct("doc_id", "h").eqNullSafe(F.col("r")))
     copies = small(copies.select(F.col("doc_id").alias("_d"), F.col("h").alias("_h")).distinct())
     texts = _texts(docs).join(copies, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("h") == F.col("_h")), "left_anti")
@@ -202,33 +216,33 @@ def links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     often = tops.groupBy("top").agg(F.count("*").alias("c")).where(F.col("c") > DIRECT).orderBy(F.desc("c"), "top").limit(COMMON).toArrow()
     common = np.sort(np.asarray(often["top"]).view(np.uint32).astype(np.uint64)) if often.num_rows else None
     keyed = prefixes(texts, common).select("g", "n", F.posexplode("keys").alias("pos", "key"))
-    keyed = cut(keyed.withColumn("c", F.count("*").over(Window.partitionBy("key"))).where("c > 1"))
+    roots = small(components(near))
+    keyed = cut(_rooted(keyed.withColumn("c", F.count("*").over(Window.partitionBy("key"))).where("c > 1"), roots))
     few = keyed.where(F.col("c") <= DIRECT)
     direct = _pairs(few, few, F.col("a.g") < F.col("b.g"))
     crowded = cut(keyed.where(F.col("c") > DIRECT).select("g").distinct())
     if crowded.isEmpty():
-        return rows, _linked(docs, reps, direct)
-    return rows, _crowds(docs, reps, direct, _of(docs, reps.join(crowded, "g", "left_semi"), "array<bigint>"))
+        return near.union(linked(docs, reps, direct))
+    return _crowds(docs, reps, direct, _of(docs, reps.join(crowded, "g", "left_semi"), "array<bigint>"), near, roots)
 
 
-def _crowds(docs: DataFrame, reps: DataFrame, direct: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (u, v) of direct that link, and of the sets (g, n, s) as many as connect them."""
+def _crowds(docs: DataFrame, reps: DataFrame, direct: DataFrame, sets: DataFrame, near: DataFrame, roots: DataFrame) -> DataFrame:
+    """The pairs (u, v) of near (their classes: roots), those of direct that link, and of the sets (g, n, s) as many as connect them."""
     again = _by_rarity(sets)
     counts = cut(again.groupBy("key").agg(F.count("*").alias("c")).where("c > 1"))
-    again = cut(again.join(small(counts), "key"))
+    again = cut(_rooted(again.join(small(counts), "key"), roots))
     few, packed = again.where(F.col("c") <= DIRECT), again.where(F.col("c") > DIRECT).drop("c")
     # the fewer rarer shingles a set has before the key, the more sets are like it
-    firsts = [F.min_by(F.struct("g", "n", "pos"), x) for x in (F.struct("pos", "g"), *[F.xxhash64("g", F.lit(i)) for i in range(1, HUBS)])]
+    firsts = [F.min_by(F.struct("g", "n", "pos", "root"), x) for x in (F.struct("pos", "g"), *[F.xxhash64("g", F.lit(i)) for i in range(1, HUBS)])]
     hubs = packed.groupBy("key").agg(F.array_distinct(F.array(*firsts)).alias("hubs")).select("key", F.explode("hubs").alias("hub")).select("key", "hub.*")
     pairs = direct.union(_pairs(few, few, F.col("a.g") < F.col("b.g"))).union(_pairs(packed, small(hubs), F.col("a.g") != F.col("b.g")))
-    found = _linked(docs, reps, pairs)
-    of = packed.join(components(found).withColumnRenamed("node", "g"), "g", "left").withColumn("root", F.coalesce("root", "g"))
-    of = cut(of)
+    found = near.union(linked(docs, reps, pairs))
+    of = cut(_rooted(packed.drop("root"), components(found)))
     sizes = of.groupBy("key", "root").agg(F.count("*").alias("k"))
     most = cut(sizes.groupBy("key").agg(F.max_by("root", F.struct("k", "root")).alias("most"), F.count("*").alias("roots")).where("roots > 1"))
     outside = of.join(small(most), "key").where("root <> most").select(*of.columns)
     rest = _pairs(outside, of, F.col("a.root") != F.col("b.root"))
-    return found.union(_linked(docs, reps, rest))
+    return found.union(linked(docs, reps, rest))
 
 
 def _by_rarity(sets: DataFrame) -> DataFrame:
@@ -258,8 +272,8 @@ def _by_rarity(sets: DataFrame) -> DataFrame:
     return sets.select("g", "n", "s").mapInArrow(run, "g bigint, n int, keys array<bigint>").select("g", "n", F.posexplode("keys").alias("pos", "key"))
 
 
-def classes(docs: DataFrame) -> DataFrame:
-    """doc_id, h (the text's hash), root (the class) of every row."""
-    rows, edges = links(docs)
+def classes(docs: DataFrame, rows: DataFrame, reps: DataFrame, near: DataFrame) -> DataFrame:
+    """doc_id, h (the text's hash), root (the class) of every row; rows, reps: `hashes` of docs and their `distinct` sets; near: pairs known to link."""
+    edges = links(docs, rows, reps, near)
     of = rows.select("doc_id", "h", "g").join(components(edges), F.col("g") == F.col("node"), "left")
     return of.select("doc_id", "h", F.coalesce("root", "g").alias("root"))

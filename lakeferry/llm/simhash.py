@@ -52,6 +52,24 @@ _SEED = 42
 _SLICE = 1 << 16
 
 
+def _ones(hashes):
+    """How many of some 64-bit hashes set each bit."""
+    import numpy as np
+
+    return np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+
+
+def _majority(ones, n: int) -> int:
+    import numpy as np
+
+    return int(np.packbits(ones * 2 > n, bitorder="little").view("<u8")[0])
+
+
+def digest(hashes) -> int:
+    """Unsigned 64-bit fingerprint of an array of shingles' hashes. None: 0."""
+    return _majority(sum(_ones(hashes[i : i + _SLICE]) for i in range(0, len(hashes), _SLICE)), len(hashes)) if len(hashes) else 0
+
+
 def fingerprint(text: str | None, width: int = 3) -> int:
     """Unsigned 64-bit fingerprint of one text."""
     import numpy as np
@@ -70,10 +88,8 @@ def fingerprint(text: str | None, width: int = 3) -> int:
     ones = np.zeros(64, np.int64)
     for i in range(0, n, _SLICE):
         s, e = start[i : min(n, i + _SLICE)].tolist(), last[i : min(n, i + _SLICE)].tolist()
-        hashes = np.fromiter((h(buf[a:b], _SEED) for a, b in zip(s, e, strict=True)), "<u8", len(s))
-        bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        ones += bits.sum(axis=0, dtype=np.int64)
-    return int(np.packbits(ones * 2 > n, bitorder="little").view("<u8")[0])
+        ones += _ones(np.fromiter((h(buf[a:b], _SEED) for a, b in zip(s, e, strict=True)), "<u8", len(s)))
+    return _majority(ones, n)
 
 
 def fingerprints(docs: DataFrame, width: int = 3) -> DataFrame:
@@ -180,10 +196,24 @@ def classes(docs: DataFrame, width: int = 3, max_bits: int = 3) -> DataFrame:
     return fps.join(of_fp, "fp").select("doc_id", "fp", "component_id")
 
 
+def reached(sets: DataFrame, max_bits: int = 3) -> DataFrame:
+    """Pairs (u, v), u < v, of the g of sets (g, fp): all with the first of their fingerprint's, and the firsts of linked fingerprints."""
+    firsts = cut(sets.groupBy("fp").agg(F.min("g").alias("first")))
+    same = sets.join(firsts, "fp").where("g <> first").select(F.col("first").alias("u"), F.col("g").alias("v"))
+    of = [firsts.select(F.col("fp").alias(x), F.col("first").alias(f"g{x}")) for x in ("u", "v")]
+    near = links(firsts.select("fp"), max_bits).join(of[0], "u").join(of[1], "v")
+    return same.union(near.select(F.least("gu", "gv").alias("u"), F.greatest("gu", "gv").alias("v")))
+
+
 def one_of_each(docs: DataFrame) -> DataFrame:
     """The rows of docs, with all their columns, that come first in their class of near copies: see groups.keep_first.
 
-    Whole sets of five-word shingles stand in for their 64-bit digest here, as 3 of 64 bits reach few texts of a similarity
-    of 0.8; the method is the same, distances to references discard pairs and the exact distance decides: see `shingles`.
+    Fingerprints of five-word shingles bring up pairs as in `classes`: bands, pivot tables, the exact number of bits. The exact similarity
+    decides on these. 3 of 64 bits reach few texts of a similarity of 0.8 and many more bits no band does, so `shingles` looks
+    across the classes found so far for what the fingerprints can't tell: the result is that of all pairs' exact similarity.
     """
-    return keep_first(docs, shingles.classes(docs))
+    prepare(docs.sparkSession)
+    rows = cut(shingles.hashes(docs, digest))
+    sets = shingles.distinct(rows)
+    near = shingles.linked(docs, sets, reached(sets))
+    return keep_first(docs, shingles.classes(docs, rows, sets, near))

@@ -598,3 +598,37 @@ def test_near_copies_odd_rows(odd_docs, no_docs):
     kept = simhash.one_of_each(odd_docs)
     assert kept.columns == odd_docs.columns and sorted(r.doc_id or 0 for r in kept.collect()) == [0, 1, 3, 6, 7, 8, 9]
     assert simhash.one_of_each(no_docs).count() == 0
+
+
+def test_near_copies_by_fingerprint(spark, monkeypatch):
+    """Fingerprints link first, by their pivots' rule and the exact similarity; what they can't tell is found as well."""
+    r = random.Random(7)
+    word = lambda: f"w{r.randrange(10**6)}"
+    docs = []
+    for _ in range(6):
+        base = [word() for _ in range(900)]
+        docs += [" ".join([*base[:i], word(), *base[i + 1 :]]) for i in (3, 300, 600)] + [" ".join(w if i % 90 else word() for i, w in enumerate(base))]
+    df = spark.createDataFrame(list(enumerate(docs)), "doc_id bigint, text string")
+    sets = [set(shingles.shingles(t).tolist()) for t in docs]
+    fps = [simhash.digest(shingles.shingles(t)) for t in docs]
+    assert simhash.digest(shingles.shingles(None)) == 0
+    alike = {(a, b) for a in range(len(docs)) for b in range(a) if 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b])}
+    close = {(a, b) for a in range(len(docs)) for b in range(a) if (fps[a] ^ fps[b]).bit_count() <= 3}
+    assert close & alike and alike - close
+    seen, real = [], shingles.classes
+    monkeypatch.setattr(shingles, "classes", lambda d, rows, reps, near: seen.append((reps.collect(), near.collect())) or real(d, rows, reps, near))
+    kept = simhash.one_of_each(df).collect()
+    of = {x.g: x.doc_id for x in seen[0][0]}
+    near = {tuple(sorted((of[x.u], of[x.v]), reverse=True)) for x in seen[0][1]}
+
+    def first(pairs):
+        root = list(range(len(docs)))
+        for a, b in sorted(pairs) * len(docs):
+            root[a] = root[b] = min(root[a], root[b])
+        return root
+
+    assert near <= close & alike and first(near) == first(close & alike)
+    assert sorted(x.doc_id for x in kept) == [a for a in range(len(docs)) if not any(x == a for x, _ in alike)]
+    # equal fingerprints of different sets reach each other, and the exact similarity still decides
+    pairs = simhash.reached(spark.createDataFrame([(1, 5), (2, 5), (3, 5), (4, 4), (9, -1)], "g bigint, fp bigint")).collect()
+    assert sorted(map(tuple, pairs)) == [(1, 2), (1, 3), (1, 4)]
