@@ -532,6 +532,22 @@ def test_components(spark):
     assert groups.components(spark.createDataFrame([], "u bigint, v bigint")).count() == 0
 
 
+def test_components_of_few_and_many(spark, monkeypatch):
+    """Few edges take no rounds of shuffles; more than may be broadcast do, and give the same."""
+    r = random.Random(11)
+    ids = [r.getrandbits(64) - 2**63 for _ in range(300)] + [-(2**63), 2**63 - 1, 0]
+    edges = [(r.choice(ids), r.choice(ids)) for _ in range(200)] + list(zip(ids[:60], ids[1:61], strict=True))
+    df = spark.createDataFrame([*edges, *edges[:9], (5, 5)], "u bigint, v bigint")
+    shuffles = spark.sparkContext._jsc.sc().newShuffleId
+    before = shuffles()
+    few = sorted(map(tuple, groups.components(df).collect()))
+    assert shuffles() - before <= 3
+    monkeypatch.setattr(groups, "BROADCAST_ROWS", 0)
+    many = sorted(map(tuple, groups.components(df).collect()))
+    assert few == many and len({x for x, _ in few}) == len(few)
+    assert groups.components(df.limit(0)).columns == ["node", "root"] and groups.components(df.limit(0)).count() == 0
+
+
 def test_simhash_repeated_ids(spark):
     """Rows of one doc_id are told apart by their texts: none goes that is a near copy of nothing."""
     a, b = "the quick brown fox jumps over it", "an entirely different set of words is here"
