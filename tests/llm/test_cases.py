@@ -227,6 +227,32 @@ def test_encoder_is_the_tokenizer(monkeypatch):
             at += k
 
 
+def test_words_are_learnt_once():
+    """Whatever stops and case a word comes with, the tokenizer gets its letters once, many words to a call."""
+    e = tokens.Encoder(tokenizer())
+    r = random.Random(7)
+    words = ["".join(r.choice("abcdeéñößøÿž") for _ in range(9)) for _ in range(300)]
+    stops = ["", ".", ",", "!!", ".***", ",'", "$$$", ")", "<|"]
+    texts = [" ".join(w + s for w in words) for s in stops] + [" ".join(w.upper().replace("SS", "ß") + s for w in words) for s in stops]
+    held, calls, ids = len(e.words), [], e._ids
+    e._ids = lambda texts, *tokenizer: calls.extend(texts) or ids(texts, *tokenizer)
+    flat, n = e.encode(texts)
+    assert flat.tolist() == [i for t in texts for i in e.tokenizer.encode(t, add_special_tokens=False).ids] and n.sum() == len(flat)
+    assert len(e.words) <= held + len(words) + len(stops) and len(calls) <= len(words) / 100 + len(stops)
+
+
+def test_letters_and_stops():
+    """Every letter below U+0250 and some beyond, alone and before each ASCII stop and a few runs, as the tokenizer has them."""
+    e = tokens.Encoder(tokenizer())
+    letters = [c for c in map(chr, [*range(0x41, 0x260), 0x2C65, 0x3A3, 0x1E9E, 0x6F22]) if c.isalpha()]
+    stops = [*string.punctuation, "", "...", ".'", "'s", "'S", "`~^", "\u0301", ".\u0301", "\u00d7", "\u0338", "1.", ".a."]
+    texts = [f"{c}{s}" for c in letters for s in stops] + [f"x{c}y{s} {s}{c}" for c in letters for s in stops] + [".".join(letters), "".join(letters) + "."]
+    texts += ["<|".join(texts[:900]), "x<|endoftext|> A. <|ENDOFTEXT|>. É, <|endoftext|>,"]
+    flat, n = e.encode(texts)
+    want = [x.ids for x in e.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert n.tolist() == list(map(len, want)) and flat.tolist() == [i for ids in want for i in ids]
+
+
 @pytest.mark.parametrize("block", [2, 6, 1 << 20])
 def test_separator_scan(spark, tmp_path, block):
     files = {"a": [9, 9, 1, 2, 3, 9, 4], "b": [], "c": [1] * 20 + [9] + [2] * 3 + [9], "d": [5, 5]}
